@@ -1,0 +1,276 @@
+"""JSON feed conformers (P1-P10, P14). One DataFrame job per dialect:
+parse ``body`` once, explode the item array, project the conformed columns.
+
+Skip rules follow the reference exactly: ``NN`` = skip only when NULL,
+``truthy`` = skip when NULL or ''.
+"""
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ...functions import geo, misc, urls
+from ...functions.text import first_truthy, nonblank, or_empty, strip_html
+from .common import conformed, explode_items, fallback_company, is_array, is_object, join_str_parts, label, list_pages, truthy_object, vget, vs, vstr
+
+
+
+def conform_greenhouse(bronze: DataFrame) -> DataFrame:
+    """``$.jobs``; id NN; canonical URL built from the slug and id."""
+    d = explode_items(list_pages(bronze, "greenhouse"), "$.jobs").where(vs(F.col("j"), "$.id").isNotNull())
+    loc = or_empty(vs(F.col("j"), "$.location.name"))
+    return conformed(
+        d,
+        canonical_url=F.concat(F.lit("https://job-boards.greenhouse.io/"), F.col("company_slug"), F.lit("/jobs/"), vs(F.col("j"), "$.id")),
+        raw_url=vs(F.col("j"), "$.absolute_url"),
+        title=or_empty(vs(F.col("j"), "$.title")),
+        description=strip_html(vs(F.col("j"), "$.content")),
+        posted_at=first_truthy(vs(F.col("j"), "$.first_published"), vs(F.col("j"), "$.updated_at")),
+        employment_type=F.lit(""),
+        location=loc,
+        country=geo.country_of(None, loc),
+        company=F.coalesce(first_truthy(vs(F.col("j"), "$.company_name")), fallback_company(F.col("company_slug"))),
+        pay=F.lit(None),
+    )
+
+
+def conform_lever(bronze: DataFrame) -> DataFrame:
+    """Array root only; hostedUrl truthy; epoch-ms createdAt; commitment."""
+    d = explode_items(list_pages(bronze, "lever"), "$").where(nonblank(vs(F.col("j"), "$.hostedUrl")).isNotNull())
+    url = vs(F.col("j"), "$.hostedUrl")
+    loc = or_empty(vs(F.col("j"), "$.categories.location"))
+    return conformed(
+        d,
+        canonical_url=urls.normalize_url(url),
+        raw_url=url,
+        title=or_empty(vs(F.col("j"), "$.text")),
+        description=or_empty(vs(F.col("j"), "$.descriptionPlain")),
+        posted_at=misc.ms_to_iso(vs(F.col("j"), "$.createdAt")),
+        employment_type=or_empty(vs(F.col("j"), "$.categories.commitment")),
+        location=loc,
+        country=geo.country_of(vs(F.col("j"), "$.country"), loc),
+        company=fallback_company(F.col("company_slug")),
+        pay=F.lit(None),
+    )
+
+
+def conform_ashby(bronze: DataFrame) -> DataFrame:
+    """``$.jobs``; explicit isListed=false dropped (F6); jobUrl or applyUrl."""
+    d = explode_items(list_pages(bronze, "ashby"), "$.jobs")
+    listed = F.try_variant_get(F.col("j"), "$.isListed", "boolean")
+    is_bool = F.coalesce(F.schema_of_variant(vget(F.col("j"), "$.isListed")) == "BOOLEAN", F.lit(False))
+    d = d.where(~(is_bool & (listed == F.lit(False))))
+    url = first_truthy(vs(F.col("j"), "$.jobUrl"), vs(F.col("j"), "$.applyUrl"))
+    d = d.where(url.isNotNull())
+    loc = or_empty(vs(F.col("j"), "$.location"))
+    return conformed(
+        d,
+        canonical_url=urls.normalize_url(url),
+        raw_url=url,
+        title=or_empty(vs(F.col("j"), "$.title")),
+        description=or_empty(vs(F.col("j"), "$.descriptionPlain")),
+        posted_at=vs(F.col("j"), "$.publishedAt"),
+        employment_type=or_empty(vs(F.col("j"), "$.employmentType")),
+        location=loc,
+        country=geo.country_of(vs(F.col("j"), "$.address.postalAddress.addressCountry"), loc),
+        company=fallback_company(F.col("company_slug")),
+        pay=first_truthy(vs(F.col("j"), "$.compensation.compensationTierSummary"), vs(F.col("j"), "$.compensation.scrapeableCompensationSalarySummary")),
+    )
+
+
+def smartrecruiters_items(bronze: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """P4 before detail enrichment: ``$.content``; id NN. Keeps ``item_key``
+    (the posting id) for the detail join."""
+    p = pages if pages is not None else list_pages(bronze, "smartrecruiters")
+    d = explode_items(p, "$.content").where(vs(F.col("j"), "$.id").isNotNull())
+    place = join_str_parts(vstr(F.col("j"), "$.location.city"), vstr(F.col("j"), "$.location.region"))
+    url = F.concat(F.lit("https://jobs.smartrecruiters.com/"), F.col("company_slug"), F.lit("/"), vs(F.col("j"), "$.id"))
+    return _with_key(d, place, url)
+
+
+def _with_key(d: DataFrame, place: Column, url: Column) -> DataFrame:
+    out = d.select(
+        url.alias("canonical_url"),
+        url.alias("raw_url"),
+        or_empty(vs(F.col("j"), "$.name")).alias("title"),
+        F.concat_ws(" ", nonblank(label(vget(F.col("j"), "$.department"))), nonblank(label(vget(F.col("j"), "$.function")))).alias("description"),
+        vs(F.col("j"), "$.releasedDate").alias("posted_at"),
+        label(vget(F.col("j"), "$.typeOfEmployment")).alias("employment_type"),
+        place.alias("location"),
+        geo.country_of(vs(F.col("j"), "$.location.country"), place).alias("country"),
+        F.coalesce(first_truthy(vs(F.col("j"), "$.company.name")), fallback_company(F.col("company_slug"))).alias("company"),
+        F.lit(None).cast("string").alias("pay"),
+        "company_slug", "ats_source", "run_id", "fetched_at", "page_no", "item_pos",
+        vs(F.col("j"), "$.id").alias("item_key"),
+    )
+    return out
+
+
+def detail_description(v: Column) -> Column:
+    """Three ``jobAd.sections.*.text`` parts, blanks dropped, joined by a
+    space, then E1."""
+    parts = [vs(v, f"$.jobAd.sections.{k}.text") for k in ("jobDescription", "qualifications", "additionalInformation")]
+    return strip_html(F.concat_ws(" ", *[nonblank(p) for p in parts]))
+
+
+def conform_workable(bronze: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """P5: ``$.results``; shortcode truthy; description = string departments."""
+    p = pages if pages is not None else list_pages(bronze, "workable")
+    d = explode_items(p, "$.results").where(nonblank(vs(F.col("j"), "$.shortcode")).isNotNull())
+    depts = F.when(is_array(vget(F.col("j"), "$.department")), F.try_variant_get(F.col("j"), "$.department", "array<variant>"))
+    dept_text = F.array_join(F.filter(F.transform(depts, lambda x: F.when(F.schema_of_variant(x) == "STRING", F.try_variant_get(x, "$", "string"))), lambda x: x.isNotNull()), " ")
+    place = join_str_parts(vstr(F.col("j"), "$.location.city"), vstr(F.col("j"), "$.location.region"))
+    url = F.concat(F.lit("https://apply.workable.com/"), F.col("company_slug"), F.lit("/j/"), vs(F.col("j"), "$.shortcode"))
+    return conformed(
+        d,
+        canonical_url=url,
+        raw_url=url,
+        title=or_empty(vs(F.col("j"), "$.title")),
+        description=F.coalesce(dept_text, F.lit("")),
+        posted_at=vs(F.col("j"), "$.published"),
+        employment_type=or_empty(vs(F.col("j"), "$.type")),
+        location=place,
+        country=geo.country_of(first_truthy(vs(F.col("j"), "$.location.country"), vs(F.col("j"), "$.location.countryCode")), place),
+        company=fallback_company(F.col("company_slug")),
+        pay=F.lit(None),
+    )
+
+
+def conform_breezy(bronze: DataFrame) -> DataFrame:
+    """Array root; url truthy; polymorphic country and state."""
+    d = explode_items(list_pages(bronze, "breezy"), "$").where(nonblank(vs(F.col("j"), "$.url")).isNotNull())
+    lj = vget(F.col("j"), "$.location")
+    country_v = vget(lj, "$.country")
+    country = F.when(is_object(country_v), vs(country_v, "$.name")).otherwise(vs(country_v, "$"))
+    state_v = vget(lj, "$.state")
+    state = F.coalesce(nonblank(label(state_v)), F.when(F.schema_of_variant(state_v) == "STRING", vs(state_v, "$")), F.lit(""))
+    loc = F.coalesce(nonblank(vs(lj, "$.name")), join_str_parts(vstr(lj, "$.city"), state))
+    url = vs(F.col("j"), "$.url")
+    return conformed(
+        d,
+        canonical_url=urls.normalize_url(url),
+        raw_url=url,
+        title=or_empty(vs(F.col("j"), "$.name")),
+        description=F.coalesce(vstr(F.col("j"), "$.department"), F.lit("")),
+        posted_at=vs(F.col("j"), "$.published_date"),
+        employment_type=label(vget(F.col("j"), "$.type")),
+        location=loc,
+        country=geo.country_of(country, loc),
+        company=fallback_company(F.col("company_slug")),
+        pay=F.lit(None),
+    )
+
+
+def conform_recruitee(bronze: DataFrame) -> DataFrame:
+    """``$.offers``; careers_url truthy; salary object to text."""
+    d = explode_items(list_pages(bronze, "recruitee"), "$.offers").where(nonblank(vs(F.col("j"), "$.careers_url")).isNotNull())
+    desc = strip_html(F.concat_ws(" ", nonblank(vs(F.col("j"), "$.description")), nonblank(vs(F.col("j"), "$.requirements"))))
+    loc = F.coalesce(nonblank(vs(F.col("j"), "$.location")), join_str_parts(vstr(F.col("j"), "$.city"), _first_truthy_str("$.state_name", "$.region")))
+    url = vs(F.col("j"), "$.careers_url")
+    sal = vget(F.col("j"), "$.salary")
+    return conformed(
+        d,
+        canonical_url=urls.normalize_url(url),
+        raw_url=url,
+        title=or_empty(vs(F.col("j"), "$.title")),
+        description=desc,
+        posted_at=vs(F.col("j"), "$.published_at"),
+        employment_type=or_empty(vs(F.col("j"), "$.employment_type_code")),
+        location=loc,
+        country=geo.country_of(first_truthy(vs(F.col("j"), "$.country"), vs(F.col("j"), "$.country_code")), loc),
+        company=F.coalesce(first_truthy(vs(F.col("j"), "$.company_name")), fallback_company(F.col("company_slug"))),
+        pay=misc.format_salary(vs(sal, "$.min"), vs(sal, "$.max"), vs(sal, "$.period"), vs(sal, "$.currency")),
+    )
+
+
+def _first_truthy_str(a: str, b: str) -> Column:
+    """``x.get(a) or x.get(b)`` kept only when the result is a string."""
+    va, vb = vget(F.col("j"), a), vget(F.col("j"), b)
+    ta = F.when(F.schema_of_variant(va) == "STRING", nonblank(vs(va, "$")))
+    return F.coalesce(ta, F.when(nonblank(vs(va, "$")).isNull() & (F.schema_of_variant(vb) == "STRING"), vs(vb, "$")))
+
+
+def conform_rippling(bronze: DataFrame) -> DataFrame:
+    """Array root; url truthy; workLocation, else location label, else
+    first of ``locations`` (object label or string)."""
+    d = explode_items(list_pages(bronze, "rippling"), "$").where(nonblank(vs(F.col("j"), "$.url")).isNotNull())
+    locs = vget(F.col("j"), "$.locations")
+    first = F.when(is_array(locs), vget(locs, "$[0]"))
+    from_list = F.coalesce(nonblank(label(first)), F.when(F.schema_of_variant(first) == "STRING", vs(first, "$")))
+    loc = F.coalesce(nonblank(vs(F.col("j"), "$.workLocation")), nonblank(label(vget(F.col("j"), "$.location"))), nonblank(from_list))
+    url = vs(F.col("j"), "$.url")
+    return conformed(
+        d,
+        canonical_url=urls.normalize_url(url),
+        raw_url=url,
+        title=or_empty(vs(F.col("j"), "$.name")),
+        description=label(vget(F.col("j"), "$.department")),
+        posted_at=F.lit(None),
+        employment_type=F.lit(""),
+        location=F.coalesce(loc, F.lit("")),
+        country=geo.country_of(None, loc),
+        company=fallback_company(F.col("company_slug")),
+        pay=F.lit(None),
+    )
+
+
+def conform_teamtailor(bronze: DataFrame) -> DataFrame:
+    """``$.items``; company once per feed; place and pay recovered from the
+    embedded schema.org ``_jobposting`` (E11, E12)."""
+    pages = list_pages(bronze, "teamtailor").withColumn("_feed_company", F.coalesce(nonblank(vs(F.col("v"), "$.title")), fallback_company(F.col("company_slug"))))
+    d = explode_items(pages, "$.items").where(nonblank(vs(F.col("j"), "$.url")).isNotNull())
+    jp = vget(F.col("j"), "$._jobposting")
+    top_loc = F.coalesce(vstr(F.col("j"), "$.location"), F.lit(""))
+    jl = vget(jp, "$.jobLocation")
+    jl0 = F.when(is_object(jl), jl).when(is_array(jl), vget(jl, "$[0]"))
+    addr = F.when(is_object(jl0), vget(jl0, "$.address"))
+    rec_loc = join_str_parts(vstr(addr, "$.addressLocality"), vstr(addr, "$.addressRegion"))
+    loc = F.when(top_loc != "", top_loc).otherwise(rec_loc)
+    country = F.when(top_loc != "", geo.country_of(None, top_loc)).otherwise(geo.country_of(vs(addr, "$.addressCountry"), rec_loc))
+    val = vget(jp, "$.baseSalary.value")
+    pay = misc.format_salary(
+        first_truthy(vs(val, "$.minValue"), vs(val, "$.value")), vs(val, "$.maxValue"),
+        F.lower(or_empty(vs(val, "$.unitText"))), vs(jp, "$.baseSalary.currency"),
+    )
+    url = vs(F.col("j"), "$.url")
+    return conformed(
+        d,
+        canonical_url=urls.normalize_url(url),
+        raw_url=url,
+        title=or_empty(vs(F.col("j"), "$.title")),
+        description=F.coalesce(nonblank(strip_html(vs(F.col("j"), "$.content_html"))), strip_html(vs(jp, "$.description"))),
+        posted_at=first_truthy(vs(F.col("j"), "$.date_published"), vs(jp, "$.datePosted")),
+        employment_type=F.lit(""),
+        location=loc,
+        country=country,
+        company=F.col("_feed_company"),
+        pay=pay,
+    )
+
+
+def conform_bamboohr(bronze: DataFrame) -> DataFrame:
+    """P10: ``$.result``; id NN; atsLocation or location; 'Remote' fallback."""
+    d = explode_items(list_pages(bronze, "bamboohr"), "$.result").where(vs(F.col("j"), "$.id").isNotNull())
+    a, b = vget(F.col("j"), "$.atsLocation"), vget(F.col("j"), "$.location")
+    lj = F.when(truthy_object(a), a).otherwise(F.when(truthy_object(b), b))
+    st_a, st_b = vget(lj, "$.state"), vget(lj, "$.province")
+    state = F.when(nonblank(vs(st_a, "$")).isNotNull(), F.when(F.schema_of_variant(st_a) == "STRING", vs(st_a, "$"))).otherwise(
+        F.when(F.schema_of_variant(st_b) == "STRING", vs(st_b, "$"))
+    )
+    loc0 = join_str_parts(vstr(lj, "$.city"), state)
+    remote = F.coalesce(F.try_variant_get(F.col("j"), "$.isRemote", "boolean"), F.lit(False))
+    loc = F.when((loc0 == "") & remote, F.lit("Remote")).otherwise(loc0)
+    url = F.concat(F.lit("https://"), F.col("company_slug"), F.lit(".bamboohr.com/careers/"), vs(F.col("j"), "$.id"))
+    return conformed(
+        d,
+        canonical_url=url,
+        raw_url=url,
+        title=or_empty(vs(F.col("j"), "$.jobOpeningName")),
+        description=or_empty(vs(F.col("j"), "$.departmentLabel")),
+        posted_at=F.lit(None),
+        employment_type=or_empty(vs(F.col("j"), "$.employmentStatusLabel")),
+        location=loc,
+        country=geo.country_of(vs(lj, "$.country"), loc),
+        company=fallback_company(F.col("company_slug")),
+        pay=F.lit(None),
+    )
