@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import values as V
-from .text import as_col, nonblank, py_strip
+from .text import as_col, let, let2, nonblank, py_strip
 
 
 def _norm_key(k: str) -> str:
@@ -24,10 +24,10 @@ def _lookup_map() -> Column:
     known = {name.lower(): name for name in set(V.ISO2.values()) | set(V.ALIASES.values())}
     for src in (known, {_norm_key(k): v for k, v in V.ALIASES.items()}, V.ISO2):
         table.update(src)
-    args = []
-    for k in sorted(table):
-        args += [F.lit(k), F.lit(table[k])]
-    return F.create_map(*args)
+    # One string literal folded into one map constant (a create_map call with
+    # hundreds of literal arguments would be re-analysed at every use).
+    text = "\x02".join(f"{k}\x01{table[k]}" for k in sorted(table))
+    return F.str_to_map(F.lit(text), F.lit("\x02"), F.lit("\x01"))
 
 
 _MAP = None
@@ -68,20 +68,33 @@ def location_segments(location) -> Column:
     return F.filter(F.transform(parts, py_strip), lambda s: s != F.lit(""))
 
 
-def country_of(structured=None, location=None) -> Column:
-    """Structured token, else plausible structured name, else US state in a
-    multi-part location, else right-most recognised segment, else NULL."""
+def _country_body(st: Column | None, loc: Column | None) -> Column:
     _, non, states = _consts()
     steps = []
-    if structured is not None:
-        st = nonblank(as_col(structured))
-        s = py_strip(st)
-        plausible = (F.length(s) > 3) & ~F.array_contains(non, F.lower(s)) & s.rlike("^(?:" + V.COUNTRY_NAME_OK + ")$")
-        steps += [canon(st), F.when(st.isNotNull() & plausible, title_case(s))]
-    if location is not None:
-        loc = nonblank(as_col(location))
-        segs = location_segments(loc)
-        us = F.when((F.size(segs) >= 2) & F.exists(segs, lambda x: F.array_contains(states, F.upper(x))), F.lit("United States"))
-        right = F.try_element_at(F.filter(F.transform(F.reverse(segs), canon), lambda x: x.isNotNull()), F.lit(1))
-        steps += [F.when(loc.isNotNull(), F.coalesce(us, right))]
-    return F.coalesce(*steps) if steps else F.lit(None).cast("string")
+    if st is not None:
+        def plausible_name(s):
+            ok = (F.length(s) > 3) & ~F.array_contains(non, F.lower(s)) & s.rlike("^(?:" + V.COUNTRY_NAME_OK + ")$")
+            return F.when(ok, title_case(s))
+
+        steps += [canon(st), F.when(st.isNotNull(), let(py_strip(st), plausible_name))]
+    if loc is not None:
+        def from_segments(segs):
+            us = F.when((F.size(segs) >= 2) & F.exists(segs, lambda x: F.array_contains(states, F.upper(x))), F.lit("United States"))
+            right = F.try_element_at(F.filter(F.transform(F.reverse(segs), canon), lambda x: x.isNotNull()), F.lit(1))
+            return F.coalesce(us, right)
+
+        steps += [F.when(loc.isNotNull(), let(location_segments(loc), from_segments))]
+    return F.coalesce(*steps)
+
+
+def country_of(structured=None, location=None) -> Column:
+    """Structured token, else plausible structured name, else US state in a
+    multi-part location, else right-most recognised segment, else NULL.
+    Each input is bound once (``let``) so the plan stays small."""
+    if structured is None and location is None:
+        return F.lit(None).cast("string")
+    if structured is None:
+        return let(nonblank(as_col(location)), lambda l: _country_body(None, l))
+    if location is None:
+        return let(nonblank(as_col(structured)), lambda s: _country_body(s, None))
+    return let2(nonblank(as_col(structured)), nonblank(as_col(location)), _country_body)

@@ -7,7 +7,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import values as V
-from .text import as_col, nonblank, py_strip
+from .text import as_col, let, let2, nonblank, py_strip
 
 UNICODE_CI = "(?iuU)"
 
@@ -20,12 +20,14 @@ def _amount(v) -> Column:
 
 def format_salary(minv, maxv, period, currency) -> Column:
     """E10: 'CUR lo–hi/period'; '' '0' '0.0' count as absent; equal ends collapse."""
-    lo, hi = _amount(minv), _amount(maxv)
-    amount = F.when(lo.isNotNull() & hi.isNotNull() & (lo != hi), F.concat(lo, F.lit("–"), hi)).otherwise(F.coalesce(lo, hi))
-    cur = F.coalesce(py_strip(as_col(currency)), F.lit(""))
-    out = py_strip(F.concat(cur, F.lit(" "), amount))
-    per = F.coalesce(py_strip(as_col(period)), F.lit(""))
-    return F.when(amount.isNotNull(), F.when(per != F.lit(""), F.concat(out, F.lit("/"), per)).otherwise(out))
+
+    def body(lo, hi):
+        amount = F.when(lo.isNotNull() & hi.isNotNull() & (lo != hi), F.concat(lo, F.lit("–"), hi)).otherwise(F.coalesce(lo, hi))
+        cur = F.coalesce(py_strip(as_col(currency)), F.lit(""))
+        per = F.coalesce(py_strip(as_col(period)), F.lit(""))
+        return let2(amount, per, lambda a, p: F.when(a.isNotNull(), let(py_strip(F.concat(cur, F.lit(" "), a)), lambda out: F.when(p != F.lit(""), F.concat(out, F.lit("/"), p)).otherwise(out))))
+
+    return let2(_amount(minv), _amount(maxv), body)
 
 
 def is_unpaid(*texts) -> Column:
@@ -47,12 +49,15 @@ def capitalize(w: Column) -> Column:
 def display_name(slug) -> Column:
     """E6: '_' and '-' to spaces, drop all-digit words unless all are digits,
     capitalise each word; ''/NULL -> NULL."""
+
+    def body(words):
+        letters = F.filter(words, lambda w: ~w.rlike(r"^\p{Nd}+$"))
+        chosen = F.when(F.size(letters) > 0, letters).otherwise(words)
+        return nonblank(F.array_join(F.transform(chosen, capitalize), " "))
+
     s = as_col(slug)
     words = F.filter(F.split(F.regexp_replace(s, "[_-]", " "), r"(?U)[\s\x{1c}-\x{1f}]+", -1), lambda w: w != F.lit(""))
-    letters = F.filter(words, lambda w: ~w.rlike(r"^\p{Nd}+$"))
-    chosen = F.when(F.size(letters) > 0, letters).otherwise(words)
-    out = F.array_join(F.transform(chosen, capitalize), " ")
-    return F.when(nonblank(s).isNotNull(), nonblank(out))
+    return F.when(nonblank(s).isNotNull(), let(words, body))
 
 
 # --- dates -------------------------------------------------------------------

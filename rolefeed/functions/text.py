@@ -39,12 +39,32 @@ ENTITY_TOKEN = (
 )
 # An ampersand that starts a reference the native path does not handle.
 FOREIGN_ENTITY = r"&(?!(?:(?:" + _LEGACY + r")(?:;|(?![A-Za-z0-9]))|apos;|#[0-9]{1,7};|#[xX][0-9a-fA-F]{1,6};))[A-Za-z0-9#]"
+# Numeric references decoded natively: code points 9, 10, 12, 13, 32-126 and
+# 160-55295 (html.unescape maps the others specially).
+SAFE_DEC = r"0*(?:9|1[023]|3[2-9]|[4-9][0-9]|1[01][0-9]|12[0-6]|1[6-9][0-9]|[2-9][0-9]{2}|[1-9][0-9]{3}|[1-4][0-9]{4}|5[0-4][0-9]{3}|55[01][0-9]{2}|552[0-8][0-9]|5529[0-5])"
+SAFE_HEX = r"0*(?:[9acdACD]|[2-6][0-9a-fA-F]|7[0-9a-eA-E]|[a-fA-F][0-9a-fA-F]|[1-9a-fA-F][0-9a-fA-F]{2}|[1-9a-cA-C][0-9a-fA-F]{3}|[dD][0-7][0-9a-fA-F]{2})"
+UNSAFE_NUMERIC = r"&#(?!" + SAFE_DEC + r";)(?![xX]" + SAFE_HEX + r";)"
 
 
 def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value, fn) -> Column:
+    """Evaluate ``value`` once and pass it to ``fn`` as a lambda variable.
+
+    Keeps expression trees linear when a helper needs its input several
+    times (a plain Python reuse would copy the whole input subtree into the
+    plan at every use, and planning time grows with that tree)."""
+    return F.element_at(F.transform(F.array(as_col(value)), fn), 1)
+
+
+def let2(a, b, fn) -> Column:
+    """``let`` for two values."""
+    packed = F.array(F.struct(as_col(a).alias("a"), as_col(b).alias("b")))
+    return F.element_at(F.transform(packed, lambda x: fn(x.getField("a"), x.getField("b"))), 1)
+
+
 def nonblank(c) -> Column:
     """Python truthiness for a string: NULL and '' are falsy (E19 building block)."""
     c = as_col(c)
@@ -87,13 +107,7 @@ def _codepoint_to_str(n: Column) -> Column:
 
 def _safe_codepoint(n: Column) -> Column:
     # Code points html.unescape returns unchanged; others go to the fallback.
-    return (
-        n.isin(9, 10, 12, 13)
-        | n.between(32, 126)
-        | n.between(160, 0xD7FF)
-        | n.between(0xE000, 0xFDCF)
-        | n.between(0xFDF0, 0xFFFD)
-    )
+    return n.isin(9, 10, 12, 13) | n.between(32, 126) | n.between(160, 0xD7FF)
 
 
 def _decode_token(t: Column) -> Column:
@@ -113,6 +127,19 @@ def _unescape_udf(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else html.unescape(x))
 
 
+def _native_unescape(c: Column) -> Column:
+    tokens = F.regexp_extract_all(c, F.lit(ENTITY_TOKEN), 0)
+    pieces = F.split(c, ENTITY_TOKEN, -1)
+    decoded = F.concat(F.transform(tokens, _decode_token), F.array(F.lit("")))
+    return F.array_join(F.zip_with(pieces, decoded, lambda a, b: F.concat(a, b)), "")
+
+
+def needs_fallback(c) -> Column:
+    """Rows whose references only ``html.unescape`` itself decodes."""
+    c = as_col(c)
+    return c.contains("&") & (c.rlike(FOREIGN_ENTITY) | c.rlike(UNSAFE_NUMERIC))
+
+
 def unescape(c) -> Column:
     """``html.unescape`` as a Column.
 
@@ -123,14 +150,9 @@ def unescape(c) -> Column:
     cross to Python.
     """
     c = as_col(c)
-    tokens = F.regexp_extract_all(c, F.lit(ENTITY_TOKEN), 0)
-    decoded = F.transform(tokens, _decode_token)
-    pieces = F.split(c, ENTITY_TOKEN, -1)
-    native = F.array_join(F.zip_with(pieces, F.concat(decoded, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
-    has_amp = c.contains("&")
-    native_ok = ~c.rlike(FOREIGN_ENTITY) & ~F.exists(decoded, lambda x: x.isNull())
-    fallback = _unescape_udf(F.when(has_amp & ~native_ok, c))
-    return F.when(~has_amp, c).when(native_ok, native).otherwise(fallback)
+    fb = needs_fallback(c)
+    native = F.when(~c.contains("&"), c).otherwise(let(c, _native_unescape))
+    return F.when(fb, _unescape_udf(F.when(fb, c))).otherwise(native)
 
 
 def strip_html(c, already_unescaped: Column | None = None) -> Column:

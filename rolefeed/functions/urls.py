@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import as_col, nonblank, py_strip
+from .text import as_col, let, nonblank, py_strip
 
 _SPLIT = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://([^/?#]*))?([^?#]*)"
 
@@ -53,11 +53,14 @@ def path_segments(url) -> Column:
 def normalize_url(url) -> Column:
     """Https, lower host without userinfo/port, no query or fragment,
     no trailing slashes, path case kept. NULL or '' gives NULL."""
+
+    def body(u):
+        p = F.regexp_replace(F.regexp_extract(u, _SPLIT, 2), r"/+$", "")
+        h = host_of_netloc(F.regexp_extract(u, _SPLIT, 1))
+        return let(p, lambda q: F.concat(F.lit("https://"), h, F.when((q == F.lit("")) | q.startswith("/"), q).otherwise(F.concat(F.lit("/"), q))))
+
     u = as_col(url)
-    p = F.regexp_replace(url_path(u), r"/+$", "")
-    p = F.when((p == F.lit("")) | p.startswith("/"), p).otherwise(F.concat(F.lit("/"), p))
-    out = F.concat(F.lit("https://"), host(u), p)
-    return F.when(nonblank(u).isNotNull(), out)
+    return F.when(nonblank(u).isNotNull(), let(_prepared(u), body))
 
 
 def query_param(url, name: str) -> Column:

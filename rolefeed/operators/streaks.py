@@ -30,6 +30,7 @@ def streak_since_reset(
     count_when: Column,
     reset_when: Column,
     prefix: str = "",
+    weight: Column | None = None,
 ) -> DataFrame:
     """Add ``{prefix}streak``, ``{prefix}resets`` and ``{prefix}count`` columns.
 
@@ -39,7 +40,7 @@ def streak_since_reset(
     b = f"{prefix}_bucket"
     d = (
         df.withColumn(b, bucket)
-        .withColumn("_c", F.when(count_when, 1).otherwise(0))
+        .withColumn("_c", F.when(count_when, weight if weight is not None else F.lit(1)).otherwise(0))
         .withColumn("_r", F.when(reset_when, 1).otherwise(0))
     )
     w_in = Window.partitionBy(*keys, b).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -76,3 +77,13 @@ def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], buck
     """1-based position of each row within its key (a skew-safe ``row_number``)."""
     out = streak_since_reset(df, keys, order, bucket, F.lit(True), F.lit(False), prefix="_rc")
     return out.withColumnRenamed("_rcstreak", name).drop("_rcresets", "_rccount")
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column, value: Column, name: str = "running") -> DataFrame:
+    """Inclusive running sum of ``value`` per key in ``order`` (skew-safe).
+    With ``keys=[]`` it is a global running sum spread over the buckets."""
+    d = df if keys else df.withColumn("_all", F.lit(0))
+    k = list(keys) if keys else ["_all"]
+    out = streak_since_reset(d, k, order, bucket, F.lit(True), F.lit(False), prefix="_rs", weight=value)
+    out = out.withColumnRenamed("_rsstreak", name).drop("_rsresets", "_rscount")
+    return out if keys else out.drop("_all")

@@ -358,6 +358,12 @@ def _sql_extract(url_sql_table: str, domains) -> str:
     vals = ", ".join(f"({i}, {S.q(d)}, {S.q(a)}, {S.q(s)})" for i, (d, a, s) in enumerate(domains))
     generic = _sql_list(V.GENERIC_LABELS)
     label = "regexp_replace(h[1:length(h) - length(d.domain)], '\\.+$', '')"
+    not_site = _sql_list(V.WORKDAY_NOT_SITE)
+    wsegs = f"CASE WHEN coalesce(regexp_full_match(segs[1], {S.q(V.WORKDAY_LOCALE[1:-1])}), false) THEN segs[2:] ELSE segs END"
+    tenant = f"split_part({label}, '.', 1)"
+    wd = (f"CASE WHEN contains({label}, '.') AND {tenant} <> '' AND NOT list_contains({generic}, {tenant}) "
+          f"AND ({wsegs})[1] IS NOT NULL AND NOT list_contains({not_site}, lower(({wsegs})[1])) "
+          f"THEN lower({label}) || '/' || ({wsegs})[1] END")
     return f"""
 d(ordinal, domain, ats, slug_in) AS (VALUES {vals}),
 u AS (SELECT *, {S.host('url')} AS h, {S.path_segments('url')} AS segs FROM {url_sql_table}),
@@ -365,6 +371,7 @@ m AS (SELECT u.rid, min(d.ordinal) AS o FROM u JOIN d ON (d.slug_in = 'path' AND
           OR (d.slug_in = 'subdomain' AND (u.h = d.domain OR u.h LIKE '%.' || d.domain)) GROUP BY u.rid),
 b AS (SELECT u.*, d.domain, d.slug_in,
              CASE WHEN d.slug_in = 'path' THEN CASE WHEN NOT list_contains({generic}, lower(segs[1])) THEN lower(segs[1]) END
+                  WHEN d.ats = 'workday' THEN {wd}
                   ELSE CASE WHEN {label} <> '' THEN lower(list_filter(string_split({label}, '.'), lambda x: NOT list_contains({generic}, x))[1]) END
              END AS company_slug, d.ats
       FROM u JOIN m USING (rid) JOIN d ON d.ordinal = m.o),

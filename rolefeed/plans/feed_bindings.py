@@ -80,7 +80,7 @@ def bronze_rows(items: DataFrame, ats: str, wrap, slug: Column | None = None, by
     return g.select(
         (slug if slug is not None else F.col("slug")).alias("company_slug"),
         F.lit(ats).alias("ats_source"),
-        F.concat(F.lit("r"), F.col("block")).alias("run_id"),
+        F.concat(F.lit("r"), F.lpad(F.col("block").cast("string"), 8, "0")).alias("run_id"),
         F.lit("FAST").alias("profile"),
         F.lit(FETCHED_AT).cast("timestamp").alias("fetched_at"),
         F.lit(200).alias("http_status"),
@@ -231,7 +231,7 @@ def q_smartrecruiters(spark, sf):
                       extra_page_cols=[F.max("_total").alias("_total")])
     from ..functions.rules import hard_gate
     det = b.where(F.size(hard_gate(F.col("title"), F.col("etype"))) > 0).select(
-        F.col("slug").alias("company_slug"), F.lit("smartrecruiters").alias("ats_source"), F.concat(F.lit("r"), F.col("block")).alias("run_id"),
+        F.col("slug").alias("company_slug"), F.lit("smartrecruiters").alias("ats_source"), F.concat(F.lit("r"), F.lpad(F.col("block").cast("string"), 8, "0")).alias("run_id"),
         F.lit("FAST").alias("profile"), F.lit(FETCHED_AT).cast("timestamp").alias("fetched_at"), F.lit(200).alias("http_status"),
         F.lit(None).cast("string").alias("error_kind"), F.lit("detail").alias("page_kind"), F.lit(None).cast("string").alias("term"),
         F.lit(0).alias("page_no"), F.concat(F.lit("sr"), F.col("oid")).alias("item_key"),
@@ -476,7 +476,7 @@ def q_workday(spark, sf):
     dup = lst.withColumn("term", F.lit("co-op")).withColumn("body", F.regexp_replace("body", "Posted Today", "Posted Yesterday"))
     from ..functions.rules import hard_gate
     det = b.where(F.size(hard_gate(F.col("title"))) > 0).select(
-        wslug.alias("company_slug"), F.lit("workday").alias("ats_source"), F.concat(F.lit("r"), F.col("block")).alias("run_id"),
+        wslug.alias("company_slug"), F.lit("workday").alias("ats_source"), F.concat(F.lit("r"), F.lpad(F.col("block").cast("string"), 8, "0")).alias("run_id"),
         F.lit("FAST").alias("profile"), F.lit(FETCHED_AT).cast("timestamp").alias("fetched_at"), F.lit(200).alias("http_status"),
         F.lit(None).cast("string").alias("error_kind"), F.lit("detail").alias("page_kind"), F.lit(None).cast("string").alias("term"),
         F.lit(0).alias("page_no"), path.alias("item_key"),
