@@ -23,15 +23,23 @@ LISTING_COLUMNS = [
 ]
 
 
+def computed(df: DataFrame, **cols: Column) -> DataFrame:
+    """Add columns through a one-row generator (``inline`` of a one-element
+    array). A later filter on them cannot be pushed beneath the generator, so
+    the optimizer does not copy the expressions (and their inputs) into the
+    filter and evaluate them twice; the generator itself costs nothing."""
+    return df.select("*", F.inline(F.array(F.struct(*[e.alias(n) for n, e in cols.items()]))))
+
+
 def gate(jobs: DataFrame, hard_rules=V.HARD_RULES, field_rules=V.FIELD_RULES, keep_failed: bool = False) -> DataFrame:
     """F1-F3 over conformed jobs: adds ``hard``, ``bag``, ``passed`` and
     ``keywords_matched``. The hard gate (title only) filters first so the
     field rules only run on rows that can still pass."""
     et = F.col("employment_type") if "employment_type" in jobs.columns else None
-    d = jobs.withColumn("hard", rules.hard_gate(F.col("title"), et, hard_rules))
+    d = computed(jobs, hard=rules.hard_gate(F.col("title"), et, hard_rules), _text=rules.field_text(F.col("title"), F.col("description")))
     if not keep_failed:
         d = d.where(F.size("hard") > 0)
-    d = d.withColumn("bag", rules.field_bag(F.col("title"), F.col("description"), field_rules))
+    d = computed(d, bag=rules.match_labels(F.col("_text"), field_rules)).drop("_text")
     passed = (F.size("hard") > 0) & (F.size("bag") > 0)
     d = d.withColumn("passed", passed).withColumn(
         "keywords_matched", F.when(passed, rules.keywords(F.col("hard"), F.col("bag"))).otherwise(F.array().cast("array<string>"))
@@ -42,8 +50,8 @@ def gate(jobs: DataFrame, hard_rules=V.HARD_RULES, field_rules=V.FIELD_RULES, ke
 def shape(jobs: DataFrame, seen_at: Column, hard_rules=V.HARD_RULES, field_rules=V.FIELD_RULES) -> DataFrame:
     """F4 + gates + P16: required fields, two gates, pay resolution, cuts.
     Extra columns of ``jobs`` (ordering keys) are carried through."""
-    d = jobs.where((F.col("canonical_url") != "") & (F.col("title") != ""))
-    d = gate(d, hard_rules, field_rules)
+    d = gate(jobs, hard_rules, field_rules)
+    d = d.where((F.col("canonical_url") != "") & (F.col("title") != ""))
     unpaid = misc.is_unpaid(F.col("title"), F.col("description"))
     pay = misc.resolve_pay(F.col("pay"), unpaid)
     carried = [c for c in jobs.columns if c not in LISTING_COLUMNS and c not in ("description", "employment_type", "pay", "location", "country", "company")]

@@ -27,6 +27,7 @@ from ..operators.boards import extract_board
 from . import discover as disc
 from . import prune as pr
 from . import sqlfrag as S
+from ..session import spread
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -40,7 +41,7 @@ def register(name: str, sql: str | None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def ts_text(c) -> F.Column:

@@ -49,3 +49,12 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over the cluster only when its scan yields fewer
+    partitions than the default parallelism (e.g. a small single-row-group
+    file feeding CPU-heavy regex or HTML work). Large inputs already have many
+    splits and are returned unchanged, so no shuffle is added at scale."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
