@@ -41,7 +41,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="rolefeed-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)
+    except Exception:  # sessions without a SparkContext handle use the conf alone
+        pass
     return d
 
 
@@ -56,5 +59,9 @@ def spread(df, min_partitions: int | None = None):
     partitions than the default parallelism (e.g. a small single-row-group
     file feeding CPU-heavy regex or HTML work). Large inputs already have many
     splits and are returned unchanged, so no shuffle is added at scale."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # sessions without the RDD API: leave the plan as is
+        return df
+    return df.repartition(want) if have < want else df
