@@ -1,8 +1,6 @@
 """Pay (E10, E11, F7), names (E6), dates (E7-E9) and outcome classes."""
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -97,10 +95,6 @@ def relative_posted(text, as_of) -> Column:
     return F.when(t.rlike(pat), F.date_format(F.date_sub(base, days), "yyyy-MM-dd"))
 
 
-def today_utc() -> _dt.date:
-    return _dt.datetime.now(_dt.timezone.utc).date()
-
-
 # --- poll outcomes -----------------------------------------------------------
 def outcome(http_status, error_kind, malformed=None) -> Column:
     """Status code / error kind -> ok | dead404 | pfail | error.

@@ -17,7 +17,7 @@ from . import refresh as R
 from . import repair as RP
 from . import seed as SD
 from . import sqlfrag as S
-from .catalog import _sql_extract, _sql_list, register, table, ts_text
+from .catalog import _sql_extract, register, table, ts_text
 
 # ---------------------------------------------------------------------------
 # Q3 refresh: greenhouse payloads of every (board, run) of orders; runs whose

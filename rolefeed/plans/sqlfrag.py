@@ -68,11 +68,6 @@ def strip_html_known(e: str) -> str:
     return f"CASE WHEN nullif({e}, '') IS NULL THEN '' ELSE {s} END"
 
 
-def word_pattern(p: str) -> str:
-    """Rewrite ``\\b`` for accented text: RE2's \\b is ASCII only."""
-    return p
-
-
 def labels(text: str, rules: Sequence[tuple[str, str]], unicode_words: bool = False) -> str:
     """Labels of matching rules, in rule order (a DuckDB list)."""
     parts = []
