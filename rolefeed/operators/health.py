@@ -89,7 +89,9 @@ def host_trips(
     Returns one row per host: host, polls, tripped, tripped_at, skipped.
     """
     order = list(order)
-    bucket = bucket if bucket is not None else F.date_trunc("hour", F.col(order[0]))
+    # few, hot keys (a shared host sees every board of its feed): minute
+    # buckets keep the rows per (host, bucket) small
+    bucket = bucket if bucket is not None else F.date_trunc("minute", F.col(order[0]))
     fail = F.col("status").isin("error", "pfail")
     s = streak_since_reset(polls.where(F.col("host").isNotNull()), ["host"], order, bucket, fail, ~fail)
     ord_struct = F.struct(*[F.col(c) for c in order])

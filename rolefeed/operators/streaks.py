@@ -13,6 +13,10 @@ the run or the hour), so the work is:
 2. one summary row per (key, bucket), combined map-side;
 3. a window over those summaries per key (one row per bucket, small);
 4. a join back on (key, bucket) that reuses the step-1 partitioning.
+
+Choose the bucket so that both rows per (key, bucket) and buckets per key
+stay near the square root of the hot key's row count: then neither window
+holds more than that in one task.
 """
 from __future__ import annotations
 
