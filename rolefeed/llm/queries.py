@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rolefeed.llm import simhash
-from rolefeed.llm.common import table
+from rolefeed.llm import exact_dedup, packing, simhash, token_files
+from rolefeed.llm.common import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[fn.__name__] = fn
@@ -21,3 +25,32 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 @query
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
+
+
+@query
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-shards")
+    token_files.write(table(spark, sf_dir, "documents"), folder, TOKENIZER, end_id=0, seq_len=1024)
+    return token_files.read_documents(spark, folder)
+
+
+@query
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return exact_dedup.exact_groups(
+        docs.withColumn("text_sha256", F.sha2(F.coalesce("text", F.lit("")), 256)), carry=["text_sha256"])
+
+
+ORACLES["op8_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id DESC) = 1 AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+WINDOW same AS (PARTITION BY t)
+"""
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, end_id=0, capacity=1024)
+    return packed.placed.select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
