@@ -1,26 +1,30 @@
-"""Token ids of a text by a public tokenizer file, with a cache of words."""
+"""Token ids of many texts by a public tokenizer file, distinct words of a
+batch encoded once and the words of earlier batches remembered."""
 from __future__ import annotations
 
 import json
 import os
-import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Words kept in the cache of a task, and the longest one that is kept.
-CACHE_WORDS, CACHE_CHARS = 700_000, 64
-ALONE = re.compile(r"(?<=\S) (?=\S)")
+BATCH_BYTES = 16 << 20  # text whose words are looked at together
+CALL_WORDS = 50_000  # distinct words encoded in one call
+CACHE_WORDS, CACHE_CHARS = 450_000, 64  # words of one generation (two are remembered), and the longest of them
 
 
 class Encoder:
-    """``encode(text)`` gives the ids of the tokenizers library with
-    add_special_tokens=False, as little-endian unsigned 32-bit integers.
+    """The ids of the tokenizers library with add_special_tokens=False.
 
     A byte-level tokenizer starts a new token at every single space or line
     feed between two characters that are no white space, and between a letter
-    or digit and a run of full stops and commas; parts cut there have the same
-    ids alone as within the text. Each distinct part is encoded once and kept.
-    With any other kind of tokenizer whole texts are encoded."""
+    or digit and full stops and commas that end a word; parts cut there have
+    the same ids alone as within the text. The parts of a batch are dictionary
+    encoded and each distinct one that is new goes through the library once.
+    Texts with other spaces, and any other kind of tokenizer, are encoded
+    whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -30,88 +34,156 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             config = json.load(f)
         pre = config.get("pre_tokenizer") or {}
-        self.by_word = (config.get("normalizer") is None and pre.get("type") == "ByteLevel"
+        self.by_part = (config.get("normalizer") is None and pre.get("type") == "ByteLevel"
                         and not pre.get("add_prefix_space") and pre.get("use_regex", True)
                         and not any(t.get("lstrip") or t.get("rstrip") or set(" \n.,") & set(t["content"])
                                     for t in config.get("added_tokens", [])))
-        #: part -> ids; by itself, and with a space before it
-        self.heads: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
-        if self.by_word:
-            vocab = self.library.get_vocab(with_added_tokens=True)
-            self.opens = np.zeros(max(vocab.values()) + 1, bool)  # ids of tokens that begin with a space
-            self.opens[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
-            self.feed = self._ids("\n").tobytes()
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if not self.by_word:
-            return self._ids(text).tobytes()
-        lines = text.split("\n")
-        if len(lines) > 1 and all(map(_plain, lines)):
-            return self.feed.join(map(self._line, lines))
-        return self._line(text)
-
-    def _line(self, text: str) -> bytes:
-        parts = text.split(" ")
-        got = list(map(self.known.get, parts[1:]))
-        if None in got or not _plain(parts[0]):
-            # only parts without white space at their ends are ever known
-            if not all(_plain(p) for p, ids in zip(parts, [None, *got]) if ids is None):
-                parts = ALONE.split(text)
-                got = list(map(self.known.get, parts[1:]))
-            new = self._learn({p for p, ids in zip(parts[1:], got) if ids is None})
-            got = [new[p] if ids is None else ids for p, ids in zip(parts[1:], got)]
-        return self._head(parts[0]) + b"".join(got)
-
-    def _head(self, part: str) -> bytes:
-        ids = self.heads.get(part)
-        if ids is None:
-            ids = self._ids(part).tobytes()
-            if len(part) <= CACHE_CHARS:
-                if len(self.heads) > CACHE_WORDS // 8:
-                    self.heads = {}
-                self.heads[part] = ids
-        return ids
-
-    def _learn(self, parts: set[str]) -> dict[str, bytes]:
-        """Ids of parts with a space before each. A word that ends in full
-        stops or commas is put together from its two parts; all other new words
-        are encoded in one call, cut where a token begins with a space."""
-        new: dict[str, bytes] = {}
-        ends: dict[str, str] = {}
-        cores: set[str] = set()
-        for p in parts:
-            core = p.rstrip(".,")
-            if core != p and core and core[-1].isalnum():
-                ends[p] = core
-                if core not in self.known:
-                    cores.add(core)
-            else:
-                cores.add(p)
-        names = list(cores)
-        if names:
-            ids = self._ids(" " + " ".join(names))
-            starts = np.flatnonzero(self.opens[ids])
-            if len(starts) != len(names):  # parts with spaces of their own
-                new = {p: self._ids(" " + p).tobytes() for p in names}
-            else:
-                data, at = ids.tobytes(), [*(starts * 4).tolist(), len(ids) * 4]
-                new = {p: data[at[i]:at[i + 1]] for i, p in enumerate(names)}
-        for p, core in ends.items():
-            new[p] = (self.known.get(core) or new[core]) + self._head(p[len(core):])
+        vocab = self.library.get_vocab(with_added_tokens=True)
+        self.size = max(vocab.values()) + 1
+        self.opens = np.zeros(self.size, bool)  # ids of tokens that begin with a space
+        self.opens[[i for t, i in vocab.items() if t.startswith("Ġ")]] = True
+        self.known: dict[str, bytes] = {}  # word -> ids with a space before it
+        self.older: dict[str, bytes] = {}  # the generation before; its words move up when seen again
+        self.heads: dict[str, bytes] = {}  # word -> ids without one
+        self.feed = self.one("\n").tobytes()
+
+    def one(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def many(self, texts: pa.Array | pa.ChunkedArray) -> Iterator[np.ndarray]:
+        """The ids of each text, in order; a null text has none."""
+        if isinstance(texts, pa.ChunkedArray):
+            texts = texts.combine_chunks()
+        texts = pc.fill_null(texts, "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+        at = 0
+        while at < len(texts):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BATCH_BYTES, side="right")))
+            part = texts.slice(at, to - at)
+            yield from self._batch(part) if self.by_part else (self.one(t.as_py()) for t in part)
+            at = to
+
+    def _batch(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        lists = pc.split_pattern(texts, " ")
+        begin = lists.offsets.to_numpy().astype(np.int64)
+        begin -= begin[0]
+        encoded = lists.flatten().dictionary_encode()
+        words = encoded.dictionary.to_pylist()
+        index = encoded.indices.to_numpy()
+        del lists, encoded
+
+        # white space is allowed at the two ends of a text only
+        left = np.array([not w or w[0].isspace() for w in words], bool)
+        right = np.array([not w or w[-1].isspace() for w in words], bool)
+        odd = left[index]
+        odd[begin[:-1]] = False
+        also = right[index]
+        also[begin[1:] - 1] = False
+        whole = np.add.reduceat(odd | also, begin[:-1], dtype=np.int64) > 0
+
+        plain = ~(left | right)
+        used = np.unique(index[np.repeat(~whole, np.diff(begin))])
+        got = self._words([words[i] for i in used.tolist()], plain[used].tolist())
+        ids = np.frombuffer(b"".join(got), "<u4")
+        lengths = np.zeros(len(words), np.int32)
+        lengths[used] = np.fromiter(map(len, got), np.int32, len(got)) // 4
+        del got
+        starts = np.cumsum(lengths) - lengths
+        size = lengths[index]
+        size[begin[:-1]] = 0  # the first word of a text has no space before it
+        first = [words[i] for i in index[begin[:-1]].tolist()]
+        heads = self._heads({w for w, odd_, ok in zip(first, whole.tolist(), plain[index[begin[:-1]]].tolist()) if ok and not odd_})
+        for i, head in enumerate(first):
+            if whole[i]:
+                yield self.one(texts[i].as_py())
+                continue
+            a, b = begin[i] + 1, begin[i + 1]
+            n, start = size[a:b], starts[index[a:b]]
+            cum = np.cumsum(n)
+            rest = ids[np.repeat(start - cum + n, n) + np.arange(cum[-1])] if len(n) else ids[:0]
+            own = heads.get(head)
+            yield np.concatenate((self.one(head) if own is None else np.frombuffer(own, "<u4"), rest))
+
+    def _words(self, words: list[str], plain: list[bool]) -> list[bytes]:
+        """Ids of each word with a space before it."""
         if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        self.known.update((p, x) for p, x in new.items() if len(p) <= CACHE_CHARS and _plain(p))
-        return new
-
-
-def _plain(part: str) -> bool:
-    return bool(part) and not part[0].isspace() and not part[-1].isspace()
+            self.known, self.older = {}, self.known
+        got = list(map(self.known.get, words))
+        new = []
+        older, known = self.older, self.known
+        for i, ids in enumerate(got):
+            if ids is None:
+                ids = older.get(words[i])
+                if ids is None:
+                    new.append(i)
+                else:
+                    got[i] = known[words[i]] = ids
+        made: dict[str, bytes] = {}
+        cores, heads, split = set(), set(), {}
+        for i in new:
+            w = words[i]
+            if not plain[i]:
+                made[w] = self.one(" " + w).tobytes()
+                continue
+            first, *lines = w.split("\n")
+            if lines and not all(x and not x[0].isspace() and not x[-1].isspace() for x in (first, *lines)):
+                made[w] = self.one(" " + w).tobytes()
+                continue
+            core = first.rstrip(".,")
+            if core == first or not core or not core[-1].isalnum():
+                core, end = first, ""
+            else:
+                end = first[len(core):]
+                heads.add(end)
+            if lines or end:
+                split[w] = (core, end, lines)
+                heads.update(lines)
+            if core not in known:
+                ids = older.get(core)
+                if ids is None:
+                    cores.add(core)
+                else:
+                    known[core] = ids
+        alone = self._heads(heads)
+        made |= self._apart(list(cores), " ", self.opens)
+        for w, (core, end, lines) in split.items():
+            ids = (made.get(core) or known[core]) + (alone[end] if end else b"")
+            made[w] = self.feed.join([ids, *(alone[x] for x in lines)])
+        for i in new:
+            got[i] = made[words[i]]
+        known.update((w, ids) for w, ids in made.items() if len(w) <= CACHE_CHARS)
+        return got
+
+    def _heads(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of plain words by themselves; in a joint call line feeds part them."""
+        if len(self.heads) > CACHE_WORDS // 4:
+            self.heads = {}
+        new = [w for w in words if w not in self.heads and "\n" not in w]
+        marks = np.zeros(self.size, bool)
+        marks[np.frombuffer(self.feed, "<u4")] = True
+        made = self._apart(new, "\n", marks, keep=False)
+        made |= {w: self.one(w).tobytes() for w in words if "\n" in w}
+        out = {w: made.get(w) or self.heads.get(w, b"") for w in words}
+        self.heads.update((w, ids) for w, ids in made.items() if len(w) <= CACHE_CHARS)
+        return out
+
+    def _apart(self, words: list[str], mark: str, marks: np.ndarray, keep: bool = True) -> dict[str, bytes]:
+        """Words encoded in joint calls, each with ``mark`` before it: the ids
+        are cut where a token of ``marks`` stands, which belongs to the word or
+        (``keep`` false) is dropped."""
+        made: dict[str, bytes] = {}
+        for at in range(0, len(words), CALL_WORDS):
+            some = words[at:at + CALL_WORDS]
+            ids = self.one(mark + mark.join(some))
+            first = np.flatnonzero(marks[ids])
+            if len(first) == len(some):
+                data = ids.tobytes()
+                cuts = [*(first * 4).tolist(), len(data)]
+                skip = 0 if keep else 4
+                made.update((w, data[cuts[i] + skip:cuts[i + 1]]) for i, w in enumerate(some))
+            else:  # a word with such a token of its own
+                made.update((w, self.one((mark if keep else "") + w).tobytes()) for w in some)
+        return made
 
 
 _encoders: dict[str, Encoder] = {}

@@ -43,14 +43,14 @@ def natural_pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: i
     length in the task that made it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer).encode, np.array([end_id], "<u4").tobytes()
+        own, end = encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         context = TaskContext.get()
         task, seen = context.partitionId() if context else 0, Counter()
         names = ("doc_id", "start", "length", "doc_tokens", "ids_crc32", "k", "ids")
         for batch in batches:
             rows, size = [], 0
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                data = encode(text.as_py()) + end
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), own.many(batch.column("text"))):
+                data = ids.tobytes() + end
                 for at in range(0, len(data), 4 * capacity):
                     piece = data[at:at + 4 * capacity]
                     n = len(piece) // 4
@@ -209,8 +209,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = CAPAC
     named = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset"]
     source = pieces.select("task", "k", F.col("length").alias("natural"), "ids")
     is_cut = F.col("length") < F.col("natural")
-    joined = placed.join(source, ["task", "natural", "k"])
-    cut = joined.where(is_cut).withColumn("ids_crc32", F.expr("crc32(substring(ids, int(skip) * 4 + 1, int(length) * 4))"))
+    # a table of its own: its size is known, so when it is small no ids are shuffled
+    joined = stored(placed.where(is_cut), "packing-cut").join(source, ["task", "natural", "k"])
+    cut = joined.withColumn("ids_crc32", F.expr("crc32(substring(ids, int(skip) * 4 + 1, int(length) * 4))"))
     named += ["ids_crc32", "task", "natural", "k", "skip"]
     return Packed(placed.where(~is_cut).select(named).unionByName(cut.select(named)), pieces)
 

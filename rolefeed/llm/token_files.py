@@ -1,9 +1,9 @@
 """Token ids in Arrow stream-file (IPC file) shards.
 
 A shard holds record batches of two fixed-size-list columns, ``input_ids``
-(uint32) and ``mask`` (uint8, 1 for an id, 0 for padding), all rows of
-``seq_len`` entries, so any sequence of a memory-mapped shard is read without
-a copy. Documents follow each other in ascending id order, each with an end id;
+(uint16 if the vocabulary fits, else uint32) and ``mask`` (bits, set for an id,
+unset for padding), all rows of ``seq_len`` entries, so any sequence of a
+memory-mapped shard is read without a copy. Documents follow each other in ascending id order, each with an end id;
 the last sequence of a shard is padded. The shard's schema metadata name its
 place in the order and its documents with their starts and lengths.
 
@@ -30,14 +30,13 @@ ROWS = 256  # sequences of a record batch
 MAGIC_END = b"1"  # an Arrow file ends in "ARROW1"; the writer's line end puts the last byte
 
 
-def _shard(ids: np.ndarray, documents: list, order: tuple[int, int], seq_len: int) -> bytes:
+def _shard(ids: np.ndarray, documents: list, order: tuple[int, int], seq_len: int, narrow: bool) -> bytes:
     rows = -(-len(ids) // seq_len)
-    padded = np.zeros(rows * seq_len, "<u4")
+    padded = np.zeros(rows * seq_len, "<u2" if narrow else "<u4")
     padded[:len(ids)] = ids
-    mask = np.zeros(rows * seq_len, np.uint8)
-    mask[:len(ids)] = 1
+    mask = np.arange(rows * seq_len) < len(ids)
     schema = pa.schema(
-        [pa.field("input_ids", pa.list_(pa.uint32(), seq_len)), pa.field("mask", pa.list_(pa.uint8(), seq_len))],
+        [pa.field("input_ids", pa.list_(pa.from_numpy_dtype(padded.dtype), seq_len)), pa.field("mask", pa.list_(pa.bool_(), seq_len))],
         metadata={"order": json.dumps(order), "n_tokens": str(len(ids)), "documents": json.dumps(documents)})
     sink = pa.BufferOutputStream()
     with pa.ipc.new_file(sink, schema) as out:
@@ -60,23 +59,24 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, seq_len
     writes no shard. ``tokenizer``: path of a tokenizers file on the workers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer).encode, np.array([end_id], "<u4").tobytes()
+        own = encoder(tokenizer)
+        end = np.array([end_id], "<u4")
+        narrow = max(own.size, end_id + 1) <= 1 << 16
         context = TaskContext.get()
         place, number = context.partitionId() if context else 0, 0
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
         documents: list = []
         n = 0
 
         def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), "<u4")
-            return pa.record_batch({"content": pa.array([_shard(ids, documents, (place, number), seq_len)], pa.binary())})
+            ids = np.concatenate(held)
+            return pa.record_batch({"content": pa.array([_shard(ids, documents, (place, number), seq_len, narrow)], pa.binary())})
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                data = encode(text.as_py()) + end
-                documents.append((doc_id, n, len(data) // 4))
-                held.append(data)
-                n += len(data) // 4
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), own.many(batch.column("text"))):
+                documents.append((doc_id, n, len(ids) + 1))
+                held += [ids, end]
+                n += len(ids) + 1
                 if n >= shard_tokens:
                     yield flush()
                     held, documents, n, number = [], [], 0, number + 1
@@ -90,7 +90,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, seq_len
 
 
 def open_shard(content: bytes) -> tuple[np.ndarray, np.ndarray, dict]:
-    """ids and mask (both n x seq_len, without a copy for one batch) and the metadata of a shard."""
+    """ids and mask (both n x seq_len; the ids of one batch without a copy) and the metadata of a shard."""
     reader = pa.ipc.open_file(pa.BufferReader(content))
     meta = {k.decode(): json.loads(v) for k, v in reader.schema.metadata.items()}
     width = reader.schema.field("input_ids").type.list_size
@@ -98,7 +98,7 @@ def open_shard(content: bytes) -> tuple[np.ndarray, np.ndarray, dict]:
     for i in range(reader.num_record_batches):
         batch = reader.get_batch(i)
         ids.append(batch.column("input_ids").flatten().to_numpy().reshape(-1, width))
-        mask.append(batch.column("mask").flatten().to_numpy().reshape(-1, width))
+        mask.append(batch.column("mask").flatten().to_numpy(zero_copy_only=False).reshape(-1, width))
     one = lambda x: x[0] if len(x) == 1 else np.concatenate(x)
     return one(ids), one(mask), meta
 
@@ -117,7 +117,7 @@ def read_sequences(spark: SparkSession, folder: str) -> DataFrame:
                 n = len(ids)
                 yield pa.record_batch({
                     "place": pa.array([meta["order"][0]] * n, pa.int64()), "shard": pa.array([meta["order"][1]] * n, pa.int64()),
-                    "row": pa.array(range(n), pa.int64()), "input_ids": pa.array(ids.astype(np.int64).tolist(), pa.list_(pa.int64())),
+                    "row": pa.array(range(n), pa.int64()), "input_ids": pa.array(ids.tolist(), pa.list_(pa.int64())),
                     "mask": pa.array(mask.astype(np.int32).tolist(), pa.list_(pa.int32()))})
 
     return _shards(spark, folder).mapInArrow(
@@ -132,7 +132,7 @@ def read_documents(spark: SparkSession, folder: str) -> DataFrame:
         for batch in batches:
             for content in batch.column("content"):
                 ids, mask, meta = open_shard(content.as_py())
-                flat = np.ascontiguousarray(ids).reshape(-1)[: int(mask.sum())].astype("<u4", copy=False)
+                flat = np.ascontiguousarray(ids).reshape(-1)[: int(mask.sum())].astype("<u4")
                 rows = [(meta["order"][0], meta["order"][1], d, at, n, zlib.crc32(flat[at:at + n].data), len(flat))
                         for d, at, n in meta["documents"]]
                 names = ("place", "shard", "doc_id", "at", "n_tokens", "ids_crc32", "shard_tokens")
