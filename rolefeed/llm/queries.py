@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rolefeed.llm import decontaminate, exact_dedup, packing, simhash, token_files
+from rolefeed.llm import (
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    language_id,
+    license_scan,
+    line_dedup,
+    packing,
+    pii,
+    simhash,
+    token_files,
+)
 from rolefeed.llm.common import new_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +70,34 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(language_id.fold() == language_id.HELD_OUT, F.lit(False))
+    return language_id.predict(docs, language_id.learn(docs)).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"), to="text").select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
