@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rolefeed.llm.common import stored
+from rolefeed.llm.common import fresh, stored
 
 WINDOW, LITERALS, MIN_WORDS, ALIGNED = 8, 4, 5, 3
 BLOOM_BITS = 24  # log2 of the filter's bits: 2 MB
@@ -237,5 +237,6 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, literals: int
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without those that share a window with any item, all columns
     kept. A row of null id goes only with a null id among the finds."""
-    found = leaks(docs, items, id_col=id_col, **options).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, F.col(id_col).eqNullSafe(F.col("_found")), "left_anti")
+    mark = fresh(docs, "_found")
+    found = leaks(docs, items, id_col=id_col, **options).select(F.col("doc_id").alias(mark)).distinct()
+    return docs.join(found, F.col(id_col).eqNullSafe(F.col(mark)), "left_anti")

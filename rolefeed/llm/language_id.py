@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rolefeed.llm.common import fresh
+
 PROFILE, FIT_DOCS, FOLDS, HELD_OUT = 300, 2000, 3, 1
 UNKNOWN = "und"
 BITS, BLANK = 21, 32  # bits of a code point; what stands around words
@@ -122,5 +124,6 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], size: int = PROFILE
     def of(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([model.predict(t) for t in texts], columns=["lang", "score"])
 
-    out = docs.drop("lang_pred", "score", "_guess").withColumn("_guess", of(F.col(text_col)))
-    return out.withColumn("lang_pred", F.col("_guess.lang")).withColumn("score", F.col("_guess.score")).drop("_guess")
+    guess = fresh(docs, "_guess")
+    out = docs.withColumn(guess, of(F.col(text_col))).drop("lang_pred", "score")
+    return out.withColumn("lang_pred", F.col(guess)["lang"]).withColumn("score", F.col(guess)["score"]).drop(guess)

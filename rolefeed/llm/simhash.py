@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rolefeed.llm.common import checkpointed, components, stored
+from rolefeed.llm.common import checkpointed, components, fresh, stored
 
 SEED = 42
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -294,7 +294,8 @@ def one_of_each_group(docs: DataFrame, shingle: int = 3, max_bits: int = 3, id_c
     """``docs`` with the document of smallest id of each component only, all
     columns kept. Of repeated rows with that id one stays; rows with a null id
     stay, as nothing tells them apart from each other."""
+    stay_col = fresh(docs, "_stay")
     groups = near_duplicates(docs, shingle, max_bits, id_col, text_col)
-    stay = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_stay")).distinct()
-    kept = docs.join(stay, docs[id_col] == stay["_stay"], "left_semi").dropDuplicates([id_col])
+    stay = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(stay_col)).distinct()
+    kept = docs.join(stay, F.col(id_col) == F.col(stay_col), "left_semi").dropDuplicates([id_col])
     return kept.unionByName(docs.where(F.col(id_col).isNull()))

@@ -53,7 +53,7 @@ def _shard(ids: np.ndarray, documents: list, order: tuple[int, int], seq_len: in
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, seq_len: int = 1024,
           shard_tokens: int = 1 << 20, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode whole texts and write the shards to ``folder`` in ascending id
-    order (null ids first; documents of equal id by text). A null text is an
+    order (null ids first; documents of equal id by a hash of the text). A null text is an
     empty one: its end id alone. A shard ends with the document that fills
     ``shard_tokens``; a document is never split over shards. An empty table
     writes no shard. ``tokenizer``: path of a tokenizers file on the workers."""
@@ -84,7 +84,8 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, seq_len
             yield flush()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    shards = rows.orderBy("doc_id", "text").mapInArrow(run, "content binary")
+    # a hash of the text breaks ties: keys are sampled to the driver, so they stay short
+    shards = rows.orderBy("doc_id", F.xxhash64("text")).mapInArrow(run, "content binary")
     (shards.select(F.col("content").cast("string").alias("value")).write
      .option("lineSep", MAGIC_END.decode()).option("maxRecordsPerFile", 1).text(folder))
 
