@@ -13,7 +13,7 @@ def test_every_template_is_found_within_other_text():
         assert hits, (license_, name)
         t, matched, coverage, a, b = hits[0]
         if TEMPLATES[t][1] == name:
-            assert coverage == 1 and text.strip().startswith(whole[a:b][:20]) and text.strip().rstrip(".\")").endswith(whole[a:b][-10:])
+            assert coverage == 1 and text.strip().startswith(whole[a:b][:20]) and text.strip().rstrip("/.\")").endswith(whole[a:b][-10:])
 
 
 def test_changed_and_partial_copies():
