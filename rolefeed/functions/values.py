@@ -213,8 +213,7 @@ COUNTRY_SPLIT = r"[,/|;–—]|\s-\s"
 COUNTRY_NAME_OK = r"[A-Za-z .'&-]+"
 
 # Tuning parameters (not semantics): retirement threshold, stale margin,
-# safety share, detail threshold for "already enriched".
+# safety share.
 RETIRE_AFTER = 3
 STALE_MARGIN_HOURS = 2
 SAFETY_FRACTION = 0.40
-ENRICHED_SNIPPET_CHARS = 200

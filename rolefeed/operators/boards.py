@@ -21,9 +21,6 @@ from pyspark.sql import functions as F
 from ..functions import urls
 from ..functions import values as V
 
-# A domain table above this many rows is shuffled, never broadcast.
-BROADCAST_ROW_LIMIT = 100_000
-
 Domains = Sequence[tuple[str, str, str]]
 
 
@@ -64,27 +61,26 @@ def domain_match(host: Column, domains: Domains) -> Column:
     return F.array_min(F.filter(hits, lambda h: h.isNotNull()))
 
 
-def match_domain_table(df: DataFrame, url_col: str, dim: DataFrame, dim_rows: int | None = None) -> DataFrame:
-    """J7 against a domain *table* (ordinal, domain, ats_source, slug_in)."""
+def match_domain_table(df: DataFrame, url_col: str, dim: DataFrame) -> DataFrame:
+    """J7 against a domain *table* (ordinal, domain, ats_source, slug_in); the
+    planner decides from its measured size whether it is broadcast."""
     d = df.withColumn("_host", urls.host(F.col(url_col)))
     hosts = d.select("_host").distinct()
     ex = hosts.select("_host", F.posexplode(_suffixes(F.col("_host"))).alias("_pos", "domain"))
     dm = dim.select("ordinal", "domain", "ats_source", "slug_in")
-    if dim_rows is not None and dim_rows <= BROADCAST_ROW_LIMIT:
-        dm = F.broadcast(dm)
     hits = ex.join(dm, "domain").where((F.col("slug_in") == "subdomain") | (F.col("_pos") == 0))
     best = hits.groupBy("_host").agg(F.min(F.struct("ordinal", "domain", "ats_source", "slug_in")).alias("_m"))
     return d.join(best, "_host", "left")
 
 
-def _with_match(df: DataFrame, url_col: str, domains: Domains | DataFrame, dim_rows: int | None) -> DataFrame:
+def _with_match(df: DataFrame, url_col: str, domains: Domains | DataFrame) -> DataFrame:
     if isinstance(domains, DataFrame):
-        return match_domain_table(df, url_col, domains, dim_rows)
+        return match_domain_table(df, url_col, domains)
     d = df.withColumn("_host", urls.host(F.col(url_col)))
     return d.withColumn("_m", domain_match(F.col("_host"), domains))
 
 
-def extract_board(df: DataFrame, url_col: str = "url", domains: Domains | DataFrame = V.SEED_DOMAINS, dim_rows: int | None = None) -> DataFrame:
+def extract_board(df: DataFrame, url_col: str = "url", domains: Domains | DataFrame = V.SEED_DOMAINS) -> DataFrame:
     """Add ``ats_source`` and ``company_slug`` (NULL when the URL names
     no board). The first matching domain decides, even when it yields NULL.
 
@@ -93,7 +89,7 @@ def extract_board(df: DataFrame, url_col: str = "url", domains: Domains | DataFr
     composite ``tenant.wdN/Site`` (site case kept, a leading locale skipped,
     reserved segments rejected).
     """
-    m = _with_match(df, url_col, domains, dim_rows)
+    m = _with_match(df, url_col, domains)
     generic = F.array(*[F.lit(x) for x in V.GENERIC_LABELS])
     not_site = F.array(*[F.lit(x) for x in V.WORKDAY_NOT_SITE])
     segs = urls.path_segments(F.col(url_col))
@@ -123,7 +119,7 @@ def classify_ats(df: DataFrame, url_col: str = "url") -> DataFrame:
     """The registry feed owning the URL (path feeds by host equality,
     subdomain feeds by suffix) and its slug: first path segment lowered, the
     greenhouse ``embed?for=`` form, or the label left of the feed's host."""
-    m = _with_match(df, url_col, registry_domains(), None)
+    m = _with_match(df, url_col, registry_domains())
     segs = urls.path_segments(F.col(url_col))
     first = F.lower(F.try_element_at(segs, F.lit(1)))
     forv = urls.query_param(F.col(url_col), "for")

@@ -2,23 +2,21 @@
 detail enrichment (P14, J5, J6), the feed router (P15) and poll outcomes (E22).
 
 Paging: the bronze table holds the pages a fetcher stored for one
-(board, run[, term]). A page counts only when no earlier page of the same
-sequence met the stop rule, and only below the page cap. The window for this
-is partitioned by (board, run, term) and holds at most the page cap (<= 150)
-rows, so no key can grow a task beyond that.
+(board, run[, term]). A capture holds only pages that were fetched, so all of
+them are conformed, whatever their number; the stop rules belong to the fetcher.
 """
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import geo, misc
 from ...functions import values as V
 from ...functions.rules import hard_gate
 from ...functions.text import first_truthy, nonblank, or_empty, strip_html
-from ..dedup import first_wins
+from ..dedup import first_wins, last_wins
 from . import json_feeds as JF
 from .common import CONFORMED, LINEAGE, conformed, detail_pages, fallback_company, is_array, is_object, list_pages, vget, vs
 
@@ -27,80 +25,51 @@ from .common import CONFORMED, LINEAGE, conformed, detail_pages, fallback_compan
 JAZZ_SPLIT = "list-group-item-heading"
 JAZZ_LINK = r'<a\s+href="(https://[^"]+/apply/([A-Za-z0-9]+))[^"]*"\s*>\s*(.*?)\s*</a>'
 JAZZ_LOC = r"""fa-map-marker['"]>\s*</i>\s*([^<]+)"""
-JAZZ_LOC_WINDOW = 1500
 JV_ROW = (
     r'<td class="jv-job-list-name">\s*<a href="(/[^"/]+/job/([^"]+))"\s*>(.*?)</a>\s*</td>\s*'
     r'<td class="jv-job-list-location">\s*(.*?)\s*</td>'
 )
-# Page caps and page sizes of the paged feeds.
-WORKABLE_MAX_PAGES = 150
-SMARTRECRUITERS_MAX_PAGES = 50
-JOBVITE_MAX_PAGES = 40
-JOBVITE_PAGE_ROWS = 50
-WORKDAY_MAX_PAGES = 25
-
-SEQ = ["company_slug", "ats_source", "run_id"]
-
-
-def _reachable(pages: DataFrame, stop: Column, cap: int, keys=SEQ) -> DataFrame:
-    """Pages before (and including) the first page meeting ``stop``, below ``cap``."""
-    w = Window.partitionBy(*keys).orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1)
-    d = pages.withColumn("_stop", stop)
-    d = d.withColumn("_stopped", F.coalesce(F.max(F.col("_stop").cast("int")).over(w), F.lit(0)) > 0)
-    return d.where(~F.col("_stopped") & (F.col("page_no") < cap)).drop("_stop", "_stopped")
-
-
-def _size(path: str) -> Column:
-    a = vget(F.col("v"), path)
-    return F.when(is_array(a), F.size(F.try_variant_get(F.col("v"), path, "array<variant>"))).otherwise(F.lit(0))
-
-
-def workable_pages(bronze: DataFrame) -> DataFrame:
-    """Token paging; stop after a page without ``nextPage`` or with no results."""
-    p = list_pages(bronze, "workable")
-    stop = (nonblank(vs(F.col("v"), "$.nextPage")).isNull()) | (_size("$.results") == 0)
-    return _reachable(p, stop, WORKABLE_MAX_PAGES)
-
-
-def smartrecruiters_pages(bronze: DataFrame) -> DataFrame:
-    """Offset paging; stop after an empty page or once the running item
-    count reaches that page's ``totalFound``."""
-    p = list_pages(bronze, "smartrecruiters")
-    w = Window.partitionBy(*SEQ).orderBy("page_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    p = p.withColumn("_n", _size("$.content")).withColumn("_cum", F.sum("_n").over(w))
-    total = F.coalesce(F.try_variant_get(F.col("v"), "$.totalFound", "bigint"), F.lit(0))
-    stop = (F.col("_n") == 0) | (F.col("_cum") >= total)
-    return _reachable(p, stop, SMARTRECRUITERS_MAX_PAGES).drop("_n", "_cum")
+BOARD = ["company_slug", "ats_source"]
+SEQ = [*BOARD, "run_id"]
 
 
 def conform_workable(bronze: DataFrame) -> DataFrame:
-    return JF.conform_workable(bronze, workable_pages(bronze))
+    """P5 + S15: the items of every captured page."""
+    return JF.conform_workable(bronze, list_pages(bronze, "workable"))
 
 
 def conform_smartrecruiters(bronze: DataFrame) -> DataFrame:
-    """P4 + P14 + J6: list items, then the detail description when a detail
-    page exists for the posting (left join on board, run and posting id).
-    Details are stored only for hard-gate passers (J5); a missing or blank
-    detail keeps the list text."""
-    items = JF.smartrecruiters_items(bronze, smartrecruiters_pages(bronze))
-    det = detail_pages(bronze, "smartrecruiters").select(*SEQ, "item_key", JF.detail_description(F.col("v")).alias("_detail"))
-    det = first_wins(det, [*SEQ, "item_key"], ["_detail"])
-    j = items.join(det, [*SEQ, "item_key"], "left")
-    j = j.withColumn("description", F.coalesce(nonblank(F.col("_detail")), F.col("description")))
+    """P4 + P14 + J6 + S16: the items of every captured page, then the newest
+    detail description of the posting, from whichever run stored it. Details
+    are stored only for hard-gate passers (J5); a posting without a detail that
+    is not blank keeps the list text."""
+    items = JF.smartrecruiters_items(bronze, list_pages(bronze, "smartrecruiters"))
+    text = JF.detail_description(F.col("v"))
+    det = newest_detail(detail_pages(bronze, "smartrecruiters").withColumn("_detail", nonblank(text)), "_detail")
+    j = items.join(det, [*BOARD, "item_key"], "left")
+    j = j.withColumn("description", F.coalesce(F.col("_detail"), F.col("description")))
     return j.select(*CONFORMED, *LINEAGE)
 
 
+def newest_detail(details: DataFrame, *payload: str) -> DataFrame:
+    """Per posting (board and item key, over all runs) the payload of the
+    newest detail page whose first payload column is not NULL."""
+    order = [F.col("fetched_at"), F.col("run_id")]
+    found = details.where(F.col(payload[0]).isNotNull()).select(*BOARD, "item_key", "fetched_at", "run_id", *payload)
+    return last_wins(found, [*BOARD, "item_key"], order).select(*BOARD, "item_key", *payload)
+
+
 def conform_jazzhr(bronze: DataFrame) -> DataFrame:
     """Split the page on the heading class, drop the first chunk; the link
-    pattern must match; location only in the first 1,500 characters."""
+    pattern must match; the location is looked for up to the next heading,
+    which is where the chunk ends."""
     p = list_pages(bronze, "jazzhr")
     chunks = F.split(F.coalesce(F.col("body"), F.lit("")), JAZZ_SPLIT, -1)
     d = p.select("*", F.posexplode(chunks).alias("item_pos", "chunk")).where(F.col("item_pos") > 0)
     link = "(?sU)" + JAZZ_LINK
     d = d.where(F.col("chunk").rlike(link))
-    head = F.substring(F.col("chunk"), 1, JAZZ_LOC_WINDOW)
     locre = "(?sU)" + JAZZ_LOC
-    loc = F.when(head.rlike(locre), strip_html(F.regexp_extract(head, locre, 1))).otherwise(F.lit(""))
+    loc = F.when(F.col("chunk").rlike(locre), strip_html(F.regexp_extract("chunk", locre, 1))).otherwise(F.lit(""))
     return conformed(
         d,
         canonical_url=F.concat(F.lit("https://"), F.col("company_slug"), F.lit(".applytojob.com/apply/"), F.regexp_extract("chunk", link, 2)),
@@ -117,13 +86,11 @@ def conform_jazzhr(bronze: DataFrame) -> DataFrame:
 
 
 def conform_jobvite(bronze: DataFrame) -> DataFrame:
-    """P12 + S17: rows of every page up to the first page with fewer than 50
-    rows (at most 40 pages); four groups per row."""
+    """P12 + S17: the rows of every captured page; four groups per row."""
     p = list_pages(bronze, "jobvite")
     body = F.coalesce(F.col("body"), F.lit(""))
     pat = "(?sU)" + JV_ROW
     p = p.withColumn("_rows", F.arrays_zip(*[F.regexp_extract_all(body, F.lit(pat), g).alias(f"g{g}") for g in (1, 2, 3, 4)]))
-    p = _reachable(p, F.size("_rows") < JOBVITE_PAGE_ROWS, JOBVITE_MAX_PAGES)
     d = p.select("*", F.posexplode("_rows").alias("item_pos", "r"))
     loc = strip_html(F.col("r.g4"))
     return conformed(
@@ -141,73 +108,70 @@ def conform_jobvite(bronze: DataFrame) -> DataFrame:
     )
 
 
+def term_rank() -> Column:
+    """Request order of a search term: the fixed list, then any other term."""
+    ranks = F.create_map(*[x for i, t in enumerate(V.WORKDAY_TERMS) for x in (F.lit(t), F.lit(i))])
+    return F.coalesce(F.try_element_at(ranks, F.col("term")), F.lit(len(V.WORKDAY_TERMS)))
+
+
 def workday_postings(bronze: DataFrame) -> DataFrame:
-    """S18 + W2: per search term, pages until an empty page or until the
-    running offset reaches the ``total`` of the term's first page (at most 25
-    pages); then the first posting per ``externalPath`` across terms (in the
-    fixed term order), pages and positions."""
-    p = list_pages(bronze, "workday")
-    term_rank = F.create_map(*[x for i, t in enumerate(V.WORKDAY_TERMS) for x in (F.lit(t), F.lit(i))])
-    p = p.withColumn("_term_no", F.coalesce(F.try_element_at(term_rank, F.col("term")), F.lit(len(V.WORKDAY_TERMS))))
-    keys = [*SEQ, "term"]
-    w_all = Window.partitionBy(*keys).orderBy("page_no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    first_total = F.first(F.coalesce(F.try_variant_get(F.col("v"), "$.total", "bigint"), F.lit(0))).over(w_all)
-    p = p.withColumn("_n", _size("$.jobPostings")).withColumn("_cum", F.sum("_n").over(w_all)).withColumn("_total", first_total)
-    p = _reachable(p, (F.col("_n") == 0) | (F.col("_cum") >= F.col("_total")), WORKDAY_MAX_PAGES, keys)
+    """S18 + W2: the first posting per ``externalPath`` across terms (in
+    request order), pages and positions of all captured pages. The four fields
+    that are used are projected before the pick, so no payload is shuffled."""
+    p = list_pages(bronze, "workday").withColumn("_term_no", term_rank())
     arr = F.when(is_array(vget(F.col("v"), "$.jobPostings")), F.try_variant_get(F.col("v"), "$.jobPostings", "array<variant>"))
     d = p.select(*SEQ, "fetched_at", "page_no", "_term_no", F.posexplode(arr).alias("item_pos", "j"))
-    d = d.withColumn("item_key", vs(F.col("j"), "$.externalPath")).where(nonblank(F.col("item_key")).isNotNull())
-    d = d.withColumn("j", F.to_json(F.col("j")))  # variant is not orderable; keep text through the pick
-    out = first_wins(d, [*SEQ, "item_key"], ["_term_no", "page_no", "item_pos"])
-    return out.withColumn("j", F.parse_json(F.col("j")))
+    d = d.select(*SEQ, "fetched_at", "page_no", "_term_no", "item_pos", vs(F.col("j"), "$.externalPath").alias("item_key"),
+                 vs(F.col("j"), "$.title").alias("_title"), vs(F.col("j"), "$.locationsText").alias("_place"), vs(F.col("j"), "$.postedOn").alias("_posted"))
+    return first_wins(d.where(nonblank(F.col("item_key")).isNotNull()), [*SEQ, "item_key"], ["_term_no", "page_no", "item_pos"])
 
 
 def conform_workday(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """P13 + J6: composite slug ``tenant.wdN/Site``; the stored CXS detail
-    (``jobPostingInfo``) wins for description, location, country and date;
-    otherwise list fields and the relative post date (E9, relative to the
-    fetch day unless ``as_of`` is given). Bare slugs (no site) are a poll
-    error and conform to nothing."""
+    """P13 + J6: composite slug ``tenant.wdN/Site``; the newest stored CXS
+    detail (``jobPostingInfo``, of whichever run) wins for description,
+    location, country and date; otherwise list fields and the relative post
+    date (E9, relative to the fetch day unless ``as_of`` is given). Of several
+    details the newest with a description counts, else the newest. Bare slugs
+    (no site) are a poll error and conform to nothing."""
     posts = workday_postings(bronze).where(F.col("company_slug").contains("/"))
-    det = detail_pages(bronze, "workday").select(*SEQ, "item_key", F.to_json(vget(F.col("v"), "$.jobPostingInfo")).alias("_info"))
-    det = first_wins(det, [*SEQ, "item_key"], ["_info"])
-    d = posts.join(det, [*SEQ, "item_key"], "left").withColumn("_info", F.try_parse_json(F.col("_info")))
-    info = F.col("_info")
-    j = F.col("j")
+    v = F.col("v")
+    cv = vget(v, "$.jobPostingInfo.country")
+    country = F.when(is_object(cv), vs(cv, "$.descriptor")).when(F.schema_of_variant(cv) == "STRING", vs(cv, "$"))
+    fields = F.struct(
+        nonblank(vs(v, "$.jobPostingInfo.jobDescription")).isNotNull().alias("told"), "fetched_at", "run_id",
+        vs(v, "$.jobPostingInfo.jobDescription").alias("text"), vs(v, "$.jobPostingInfo.location").alias("place"),
+        country.alias("country"), vs(v, "$.jobPostingInfo.startDate").alias("day"))
+    det = detail_pages(bronze, "workday").where(is_object(vget(v, "$.jobPostingInfo")))
+    det = det.groupBy(*BOARD, "item_key").agg(F.max(fields).alias("info"))
+    d = posts.join(det, [*BOARD, "item_key"], "left")
     hostpart = F.split(F.col("company_slug"), "/", 2).getItem(0)
     site = F.split(F.col("company_slug"), "/", 2).getItem(1)
-    base = F.concat(F.lit("https://"), hostpart, F.lit(".myworkdayjobs.com"))
-    url = F.concat(base, F.lit("/en-US/"), site, F.col("item_key"))
-    loc = or_empty(first_truthy(vs(info, "$.location"), vs(j, "$.locationsText")))
-    cv = vget(info, "$.country")
-    wd_country = F.when(is_object(cv), vs(cv, "$.descriptor")).when(F.schema_of_variant(cv) == "STRING", vs(cv, "$"))
-    desc_raw = vs(info, "$.jobDescription")
+    url = F.concat(F.lit("https://"), hostpart, F.lit(".myworkdayjobs.com/en-US/"), site, F.col("item_key"))
+    loc = or_empty(first_truthy(F.col("info.place"), F.col("_place")))
+    desc = F.col("info.text")
     day = as_of if as_of is not None else F.to_date(F.col("fetched_at"))
     return conformed(
         d,
         canonical_url=url,
         raw_url=url,
-        title=or_empty(vs(j, "$.title")),
-        description=F.when(nonblank(desc_raw).isNotNull(), strip_html(desc_raw)).otherwise(F.lit("")),
-        posted_at=F.coalesce(nonblank(vs(info, "$.startDate")), misc.relative_posted(vs(j, "$.postedOn"), day)),
+        title=or_empty(F.col("_title")),
+        description=F.when(nonblank(desc).isNotNull(), strip_html(desc)).otherwise(F.lit("")),
+        posted_at=F.coalesce(nonblank(F.col("info.day")), misc.relative_posted(F.col("_posted"), day)),
         employment_type=F.lit(""),
         location=loc,
-        country=geo.country_of(wd_country, loc),
+        country=geo.country_of(F.col("info.country"), loc),
         company=misc.display_name(F.split(hostpart, r"\.", 2).getItem(0)),
         pay=F.lit(None),
     )
 
 
-def detail_worklist(items: DataFrame, enriched: DataFrame | None = None) -> DataFrame:
+def detail_worklist(items: DataFrame, details: DataFrame | None = None) -> DataFrame:
     """J4 + J5: postings whose detail is still needed: they pass the title-only
-    hard gate (a necessary condition of the two gates) and their canonical URL
-    has no stored description over 200 characters yet."""
+    hard gate (a necessary condition of the two gates) and no detail payload of
+    theirs (``company_slug, ats_source, item_key``) is stored yet."""
     et = F.col("employment_type") if "employment_type" in items.columns else None
     w = items.where(F.size(hard_gate(F.col("title"), et)) > 0)
-    if enriched is not None:
-        done = enriched.where(F.length(F.coalesce("snippet", F.lit(""))) > V.ENRICHED_SNIPPET_CHARS).select("canonical_url")
-        w = w.join(done, "canonical_url", "left_anti")
-    return w
+    return w if details is None else w.join(details.select(*BOARD, "item_key"), [*BOARD, "item_key"], "left_anti")
 
 
 CONFORMERS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -241,8 +205,8 @@ def conform_all(bronze: DataFrame, feeds=None) -> DataFrame:
 
 
 def poll_outcomes(bronze: DataFrame) -> DataFrame:
-    """E22 per (board, run): the first failing list request (by term and page)
-    decides the status; a list payload that is not valid JSON (JSON feeds) is
+    """E22 per (board, run): the first failing list request (by the terms'
+    request order and page) decides the status; a list payload that is not valid JSON (JSON feeds) is
     an adapter failure, i.e. ``error``; a workday board without a site is an
     ``error``. Detail failures are tolerated. Otherwise ``ok``."""
     lst = bronze.where(F.coalesce(F.col("page_kind"), F.lit("list")) == "list")
@@ -251,9 +215,9 @@ def poll_outcomes(bronze: DataFrame) -> DataFrame:
     bare_wd = (F.col("ats_source") == "workday") & ~F.col("company_slug").contains("/")
     st = misc.outcome(F.col("http_status"), F.col("error_kind"), malformed | bare_wd)
     d = lst.withColumn("_st", st)
-    first_bad = F.min(F.when(F.col("_st") != "ok", F.struct(F.coalesce(F.col("term"), F.lit("")), "page_no", "_st")))
+    first_bad = F.min(F.when(F.col("_st") != "ok", F.struct(term_rank(), F.coalesce(F.col("term"), F.lit("")), "page_no", "_st")))
     return d.groupBy(*SEQ).agg(
         F.coalesce(first_bad.getField("_st"), F.lit("ok")).alias("status"),
         F.max("fetched_at").alias("finished_at"),
-        F.first("profile", ignorenulls=True).alias("profile"),
+        F.max_by("profile", F.struct("fetched_at", term_rank(), "page_no", "profile")).alias("profile"),
     )

@@ -1,5 +1,5 @@
-"""Board health from a poll log (W3), host circuit breaker (W4), poll waves
-(W8) and the run summaries that read them (A1-A3, A10, A13).
+"""Board health from a poll log (W3), host failure streaks (W4), numbering of
+boards by host (W8) and the run summaries that read them (A1-A3, A10, A13).
 
 Poll log columns used: ``company_slug, ats_source, finished_at, seq, status``
 (+ ``profile`` when the condemning rule depends on it, + ``host``). Status is
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import values as V
@@ -35,47 +35,62 @@ def board_health(
     ``still_active`` (the count keeps its last written value).
 
     Returns one row per board seen in ``polls``: company_slug, ats_source,
-    fail_count, still_active, last_polled_at, retired_at, polls_used.
+    fail_count, still_active, last_polled_at, retired_at, polls_used, and
+    ``retired_run`` when polls carry a ``run_id``.
+
+    The streak is computed once. What a board shows before its first retirement
+    is summed up per (board, bucket), with a window over the same partitions;
+    only those summaries, one row per bucket, are brought together per board.
     """
     order = list(order)
-    bucket = bucket if bucket is not None else F.date_trunc("hour", F.col(order[0]))
     cond = condemns if condemns is not None else F.lit(True)
-    p = polls.withColumn("_cp", (F.col("status") == "pfail") & cond).withColumn("_ok", F.col("status") == "ok")
+    p = polls.withColumn("_b", bucket if bucket is not None else F.date_trunc("hour", F.col(order[0])))
+    p = p.withColumn("_cp", (F.col("status") == "pfail") & cond).withColumn("_ok", F.col("status") == "ok")
     if companies is not None:
         init = companies.select(*BOARD, F.col("fail_count").alias("_f0"), F.col("still_active").alias("_a0"), F.col("last_polled_at").alias("_p0"))
         # Boards already retired are not polled (F5); their rows are ignored.
         p = p.join(init, BOARD, "left").where(~F.coalesce(F.col("_a0") == F.lit(False), F.lit(False)))
     else:
         p = p.withColumn("_f0", F.lit(None).cast("int")).withColumn("_a0", F.lit(None).cast("boolean")).withColumn("_p0", F.lit(None).cast("timestamp"))
-    s = streak_since_reset(p, BOARD, order, bucket, F.col("_cp"), F.col("_ok"))
-    eff = F.col("streak") + F.when(F.col("resets") == 0, F.coalesce(F.col("_f0"), F.lit(0))).otherwise(F.lit(0))
-    s = s.withColumn("_n", eff)
+    s = streak_since_reset(p, BOARD, order, F.col("_b"), F.col("_cp"), F.col("_ok"))
+    s = s.withColumn("_n", F.col("streak") + F.when(F.col("resets") == 0, F.coalesce(F.col("_f0"), F.lit(0))).otherwise(F.lit(0)))
+    at = F.struct(*[F.col(c) for c in order])
     retire = (F.col("status") == "dead404") | (F.col("_cp") & (F.col("_n") >= retire_after))
-    ord_struct = F.struct(*[F.col(c) for c in order])
-    first_retire = s.where(retire).groupBy(*BOARD).agg(F.min(ord_struct).alias("_ret"))
-    t = s.join(first_retire, BOARD, "left")
-    before = F.col("_ret").isNull() | (ord_struct < F.col("_ret"))
-    writes = F.col("_ok") | F.col("_cp")
-    at_ret = ord_struct == F.col("_ret")
-    out = t.groupBy(*BOARD).agg(
-        F.max(F.when(before & writes, F.struct(ord_struct.alias("o"), F.col("_n").alias("n")))).alias("_lastw"),
+    s = s.withColumn("_ret", F.min(F.when(retire, at)).over(Window.partitionBy(*BOARD, "_b")))
+    before = F.col("_ret").isNull() | (at < F.col("_ret"))
+    at_ret = at == F.col("_ret")
+    run = F.col("run_id").cast("string") if "run_id" in polls.columns else F.lit(None).cast("string")
+    by_bucket = s.groupBy(*BOARD, "_b").agg(
+        F.max(F.when(before & (F.col("_ok") | F.col("_cp")), F.struct(at.alias("o"), F.col("_n").alias("n")))).alias("_lastw"),
         F.max(F.when(before & F.col("_ok"), F.col("finished_at"))).alias("_stamp"),
         F.first("_f0", ignorenulls=True).alias("_f0"),
         F.first("_a0", ignorenulls=True).alias("_a0"),
         F.first("_p0", ignorenulls=True).alias("_p0"),
-        F.max(F.when(at_ret, F.col("finished_at"))).alias("retired_at"),
-        F.count(F.when(before | at_ret, 1)).alias("polls_used"),
+        F.max(F.when(at_ret, F.struct(F.col("finished_at").alias("at"), run.alias("run")))).alias("_retired"),
+        F.count(F.when(before | at_ret, 1)).alias("_used"),
     )
+    first_bucket = F.min(F.when(F.col("_retired").isNotNull(), F.col("_b"))).over(Window.partitionBy(*BOARD))
+    by_bucket = by_bucket.withColumn("_first", first_bucket).where(F.col("_first").isNull() | (F.col("_b") <= F.col("_first")))
+    out = by_bucket.groupBy(*BOARD).agg(
+        F.max("_lastw").alias("_lastw"), F.max("_stamp").alias("_stamp"), F.first("_f0", ignorenulls=True).alias("_f0"),
+        F.first("_a0", ignorenulls=True).alias("_a0"), F.first("_p0", ignorenulls=True).alias("_p0"),
+        F.max("_retired").alias("_retired"), F.sum("_used").alias("polls_used"))
     return out.select(
         *BOARD,
         F.coalesce(F.col("_lastw.n"), F.col("_f0")).cast("int").alias("fail_count"),
-        F.when(F.col("retired_at").isNotNull(), F.lit(False)).otherwise(F.col("_a0")).alias("still_active"),
+        F.when(F.col("_retired").isNotNull(), F.lit(False)).otherwise(F.col("_a0")).alias("still_active"),
         F.coalesce(F.col("_stamp"), F.col("_p0")).alias("last_polled_at"),
-        "retired_at",
+        F.col("_retired.at").alias("retired_at"),
         "polls_used",
+        *([F.col("_retired.run").alias("retired_run")] if "run_id" in polls.columns else []),
     )
 
 
+def retired_in(state: DataFrame) -> DataFrame:
+    """The boards that a fold retired, with the run that did it."""
+    return state.where(F.col("retired_at").isNotNull()).select(F.col("retired_run").alias("run_id"), *BOARD)
+
+
 def host_trips(
     polls: DataFrame,
     trip_after: int,
@@ -84,9 +99,9 @@ def host_trips(
 ) -> DataFrame:
     """Per shared host, in completion order, a run of ``trip_after``
     consecutive error/pfail polls trips the host; ok and dead404 reset the run.
-    Polls after the tripping one are skipped.
 
-    Returns one row per host: host, polls, tripped, tripped_at, skipped.
+    Returns one row per host: host, polls, tripped, tripped_at (the first trip).
+    One streak pass and one partial aggregate.
     """
     order = list(order)
     # few, hot keys (a shared host sees every board of its feed): minute
@@ -94,34 +109,23 @@ def host_trips(
     bucket = bucket if bucket is not None else F.date_trunc("minute", F.col(order[0]))
     fail = F.col("status").isin("error", "pfail")
     s = streak_since_reset(polls.where(F.col("host").isNotNull()), ["host"], order, bucket, fail, ~fail)
-    ord_struct = F.struct(*[F.col(c) for c in order])
-    trip = s.where(fail & (F.col("streak") >= trip_after)).groupBy("host").agg(F.min(ord_struct).alias("_trip"))
-    j = s.join(trip, "host", "left")
-    return j.groupBy("host").agg(
-        F.count(F.lit(1)).alias("polls"),
-        F.max(F.col("_trip").isNotNull()).alias("tripped"),
-        F.max(F.when(ord_struct == F.col("_trip"), F.col(order[0]))).alias("tripped_at"),
-        F.count(F.when(ord_struct > F.col("_trip"), 1)).alias("skipped"),
-    )
+    trip = F.min(F.when(fail & (F.col("streak") >= trip_after), F.struct(*[F.col(c) for c in order])))
+    out = s.groupBy("host").agg(F.count(F.lit(1)).alias("polls"), trip.alias("_trip"))
+    return out.select("host", "polls", F.col("_trip").isNotNull().alias("tripped"), F.col("_trip").getField(order[0]).alias("tripped_at"))
 
 
 def tripped_summary(trips: DataFrame) -> DataFrame:
-    """Hosts tripped, polls skipped, sorted host list (one row)."""
-    t = trips.where("tripped")
-    return t.agg(
-        F.count(F.lit(1)).alias("hosts_tripped"),
-        F.coalesce(F.sum("skipped"), F.lit(0)).alias("skipped"),
-        F.array_sort(F.collect_list(F.col("host").cast("string"))).alias("hosts"),
-    )
+    """Hosts tripped, by the day of their first trip."""
+    return trips.where("tripped").groupBy(F.to_date("tripped_at").alias("tripped_on")).agg(F.count(F.lit(1)).alias("hosts_tripped"))
 
 
 def run_summary(polls: DataFrame, rows: DataFrame | None = None, retired: DataFrame | None = None) -> DataFrame:
     """A1-A3: per run: jobs seen over ok polls, distinct listings, boards with
-    a match, retired (404s plus condemned boards), persistent-fail and errors.
+    a match, boards retired (by a 404 or condemned), persistent-fail and errors.
 
     ``rows`` are the matched listing rows of the run (canonical_url, run_id,
     company_slug, ats_source); ``retired`` holds (run_id, company_slug,
-    ats_source) of boards condemned in that run.
+    ats_source) of the boards retired in that run; each counts once.
     """
     base = polls.groupBy("run_id").agg(
         F.coalesce(F.sum(F.when(F.col("status") == "ok", F.col("seen"))), F.lit(0)).alias("jobs_seen"),
@@ -134,9 +138,8 @@ def run_summary(polls: DataFrame, rows: DataFrame | None = None, retired: DataFr
         lst = rows.groupBy("run_id").agg(F.count_distinct("canonical_url").alias("listings"))
         base = base.join(lst, "run_id", "left").withColumn("listings", F.coalesce("listings", F.lit(0)))
     if retired is not None:
-        cond = retired.groupBy("run_id").agg(F.count(F.lit(1)).alias("_condemned"))
-        base = base.join(cond, "run_id", "left")
-        base = base.withColumn("retired", F.col("dead404") + F.coalesce("_condemned", F.lit(0))).drop("_condemned")
+        boards = retired.select("run_id", *BOARD).distinct().groupBy("run_id").agg(F.count(F.lit(1)).alias("retired"))
+        base = base.join(boards, "run_id", "left").withColumn("retired", F.coalesce("retired", F.lit(0)))
     return base
 
 
@@ -149,18 +152,16 @@ def pollable(companies: DataFrame, feeds: Sequence[str] = V.POLLABLE) -> DataFra
 def with_host(companies: DataFrame, registry: DataFrame) -> DataFrame:
     """Attach ``host`` (the shared API host of path feeds) and ``host_class``."""
     r = registry.select("ats_source", "slug_in", "api_host")
-    j = companies.join(F.broadcast(r), "ats_source", "left")
+    j = companies.join(r, "ats_source", "left")
     return j.withColumn("host_class", F.when(F.col("slug_in") == "path", F.lit("shared")).otherwise(F.lit("unique"))).withColumn(
         "host", F.when(F.col("slug_in") == "path", F.col("api_host"))
     ).drop("slug_in", "api_host")
 
 
 def poll_waves(boards: DataFrame, run_id: str, per_host: int) -> DataFrame:
-    """Number boards within their shared host in a per-run hash order and
-    cut them into waves of ``per_host``. Unique-host boards are wave 1.
-
-    The hash order replaces the reference's per-run shuffle; ranks come from
-    the bucketed running count, so the hottest host still spreads over tasks.
+    """W8 as a numbering: boards of a shared host in a per-run hash order, in
+    batches of ``per_host``; boards of a unique host are batch 1. Ranks come
+    from the bucketed running count, so the hottest host spreads over tasks.
     """
     h = F.xxhash64(F.col("company_slug"), F.col("ats_source"), F.lit(run_id))
     shared = boards.where(F.col("host").isNotNull()).withColumn("_h", h)

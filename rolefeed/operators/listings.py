@@ -7,7 +7,7 @@ canonical URL in the ``listings`` shape, last poll wins.
 """
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,13 +47,21 @@ def gate(jobs: DataFrame, hard_rules=V.HARD_RULES, field_rules=V.FIELD_RULES, ke
     return d if keep_failed else d.where("passed")
 
 
-def shape(jobs: DataFrame, seen_at: Column, hard_rules=V.HARD_RULES, field_rules=V.FIELD_RULES) -> DataFrame:
-    """F4 + gates + P16: required fields, two gates, pay resolution, cuts.
+def shape(jobs: DataFrame, seen_at: Column, hard_rules=V.HARD_RULES, field_rules=V.FIELD_RULES, cuts: Mapping[str, int] | None = None) -> DataFrame:
+    """F4 + gates + P16: required fields, two gates, pay resolution. Texts are
+    kept whole; ``cuts`` (column -> length, E20) shortens snippet, location or
+    pay where a consumer wants a preview, and is off by default.
     Extra columns of ``jobs`` (ordering keys) are carried through."""
     d = gate(jobs, hard_rules, field_rules)
     d = d.where((F.col("canonical_url") != "") & (F.col("title") != ""))
     unpaid = misc.is_unpaid(F.col("title"), F.col("description"))
     pay = misc.resolve_pay(F.col("pay"), unpaid)
+    cuts = cuts or {}
+
+    def whole(name: str, value: Column) -> Column:
+        value = F.coalesce(value, F.lit(""))
+        return nonblank(truncate(value, cuts[name]) if name in cuts else value).alias(name)
+
     carried = [c for c in jobs.columns if c not in LISTING_COLUMNS and c not in ("description", "employment_type", "pay", "location", "country", "company")]
     return d.select(
         "canonical_url",
@@ -63,10 +71,10 @@ def shape(jobs: DataFrame, seen_at: Column, hard_rules=V.HARD_RULES, field_rules
         "ats_source",
         "keywords_matched",
         nonblank(F.col("company")).alias("company"),
-        nonblank(truncate(F.coalesce(F.col("description"), F.lit("")), 500)).alias("snippet"),
-        nonblank(truncate(F.coalesce(F.col("location"), F.lit("")), 200)).alias("location"),
+        whole("snippet", F.col("description")),
+        whole("location", F.col("location")),
         nonblank(F.col("country")).alias("country"),
-        nonblank(truncate(F.coalesce(pay, F.lit("")), 120)).alias("pay"),
+        whole("pay", pay),
         F.col("posted_at").cast("string").alias("posted_at"),
         seen_at.alias("last_seen_at"),
         *[c for c in carried if c not in ("hard", "bag", "passed")],

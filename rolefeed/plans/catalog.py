@@ -7,7 +7,8 @@ Bindings (how the job-board operators read the TPC-H-style tables):
 * orders       -> postings (F1-F8, P16, W1) and boards for prune (Q1, Q2)
 * lineitem     -> listings for prune (Q1, Q2)
 * events       -> poll log: board = user_id, order = (ts, event_id);
-                  error -> pfail, view -> error, others -> ok (W3, W4, A1, A13)
+                  error -> pfail, view -> error, a few signups -> dead404,
+                  others -> ok (W3, W4, A1, A13)
 * customer     -> boards table and locations (W8, A10, E6, E16, S4-S6)
 * part, documents -> rule tables over names and whole texts (F1-F3)
 
@@ -27,7 +28,6 @@ from ..operators.boards import extract_board
 from . import discover as disc
 from . import prune as pr
 from . import sqlfrag as S
-from ..session import spread
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -41,7 +41,7 @@ def register(name: str, sql: str | None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ts_text(c) -> F.Column:
@@ -168,13 +168,13 @@ def prune_inputs(spark, sf, variant: str):
         (F.col("l_shipdate").cast("timestamp") + F.make_interval(days=F.lit(lag_days))).alias("last_seen_at"),
     )
     if variant == "apply":
-        boards = od.where(F.col("o_orderpriority") != "5-LOW")
+        orphan = F.col("o_orderpriority") == "5-LOW"
         inactive = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "4-NOT SPECIFIED")
     else:
-        boards = od.where(F.col("o_orderstatus") != "P")
+        orphan = F.col("o_orderstatus") == "P"
         inactive = F.col("o_orderstatus") == "F"
-    companies = boards.select(
-        F.col("o_orderkey").cast("string").alias("company_slug"),
+    companies = od.select(
+        F.concat(F.when(orphan, "other-").otherwise(""), F.col("o_orderkey").cast("string")).alias("company_slug"),
         F.lit("greenhouse").alias("ats_source"),
         F.when(inactive, F.lit(False)).alias("still_active"),
         F.col("o_orderdate").cast("timestamp").alias("last_polled_at"),
@@ -185,16 +185,16 @@ def prune_inputs(spark, sf, variant: str):
 def _sql_prune_classified(variant: str) -> str:
     lag = "INTERVAL 1460 DAY" if variant == "apply" else "INTERVAL 0 DAY"
     if variant == "apply":
-        where, inactive = "o_orderpriority <> '5-LOW'", "o_orderstatus = 'F' AND o_orderpriority = '4-NOT SPECIFIED'"
+        orphan, inactive = "o_orderpriority = '5-LOW'", "o_orderstatus = 'F' AND o_orderpriority = '4-NOT SPECIFIED'"
     else:
-        where, inactive = "o_orderstatus <> 'P'", "o_orderstatus = 'F'"
+        orphan, inactive = "o_orderstatus = 'P'", "o_orderstatus = 'F'"
     return f"""
 WITH l AS (SELECT 'https://jobs.example.com/' || l_orderkey || '/' || l_linenumber AS canonical_url,
                   CAST(l_orderkey AS VARCHAR) AS company_slug, 'greenhouse' AS ats_source,
                   CAST(l_shipdate AS TIMESTAMP) + {lag} AS last_seen_at FROM lineitem),
-c AS (SELECT CAST(o_orderkey AS VARCHAR) AS company_slug, 'greenhouse' AS ats_source,
+c AS (SELECT CASE WHEN {orphan} THEN 'other-' ELSE '' END || o_orderkey AS company_slug, 'greenhouse' AS ats_source,
              CASE WHEN {inactive} THEN false END AS still_active, CAST(o_orderdate AS TIMESTAMP) AS last_polled_at
-      FROM orders WHERE {where}),
+      FROM orders),
 k AS (SELECT l.*, CASE WHEN c.company_slug IS NULL THEN 'orphan' WHEN c.still_active = false THEN 'dead'
              WHEN c.last_polled_at IS NOT NULL AND l.last_seen_at IS NOT NULL AND c.last_polled_at > l.last_seen_at + INTERVAL 2 HOUR THEN 'gone'
              ELSE 'keep' END AS bucket
@@ -259,7 +259,8 @@ def q_prune_apply_breach(spark, sf):
 # ---------------------------------------------------------------------------
 def poll_log(spark, sf) -> DataFrame:
     e = table(spark, sf, "events")
-    status = F.when(F.col("event_type") == "error", "pfail").when(F.col("event_type") == "view", "error").otherwise("ok")
+    gone = (F.col("event_type") == "signup") & (F.pmod(F.col("event_id"), F.lit(97)) == 0)
+    status = F.when(F.col("event_type") == "error", "pfail").when(F.col("event_type") == "view", "error").when(gone, "dead404").otherwise("ok")
     return e.select(
         F.col("user_id").cast("string").alias("company_slug"),
         F.lit("lever").alias("ats_source"),
@@ -275,7 +276,8 @@ def poll_log(spark, sf) -> DataFrame:
 
 _SQL_POLLS = """
 WITH p AS (SELECT CAST(user_id AS VARCHAR) AS company_slug, CAST(ts AS TIMESTAMP) AS ts, event_id,
-                  CASE event_type WHEN 'error' THEN 'pfail' WHEN 'view' THEN 'error' ELSE 'ok' END AS status,
+                  CASE event_type WHEN 'error' THEN 'pfail' WHEN 'view' THEN 'error'
+                       ELSE CASE WHEN event_type = 'signup' AND event_id % 97 = 0 THEN 'dead404' ELSE 'ok' END END AS status,
                   CAST(user_id % 10 AS VARCHAR) AS host, strftime(ts, '%Y-%m-%d') AS run_id,
                   CAST(floor(value) AS BIGINT) AS seen, CASE WHEN value > 30 THEN 1 ELSE 0 END AS matched FROM events)"""
 
@@ -310,12 +312,11 @@ SELECT p.run_id, CAST(coalesce(sum(seen) FILTER (WHERE status = 'ok'), 0) AS BIG
        CAST(count(*) FILTER (WHERE status = 'error') AS BIGINT) AS errors,
        CAST(count(*) FILTER (WHERE status = 'dead404') AS BIGINT) AS dead404,
        CAST(count(*) FILTER (WHERE status = 'ok' AND matched > 0) AS BIGINT) AS boards_matched,
-       CAST(count(*) FILTER (WHERE status = 'dead404') + coalesce(max(ret.condemned), 0) AS BIGINT) AS retired
+       CAST(coalesce(max(ret.condemned), 0) AS BIGINT) AS retired
 FROM p LEFT JOIN ret USING (run_id) GROUP BY p.run_id""")
 def q_run_summary(spark, sf):
     polls = poll_log(spark, sf)
-    h = health.board_health(polls)
-    retired = h.where(F.col("retired_at").isNotNull()).select(F.date_format("retired_at", "yyyy-MM-dd").alias("run_id"), "company_slug", "ats_source")
+    retired = health.retired_in(health.board_health(polls))
     return health.run_summary(polls, retired=retired).select("run_id", "jobs_seen", "persistent_fail", "errors", "dead404", "boards_matched", "retired")
 
 
@@ -325,22 +326,21 @@ g AS (SELECT *, sum(CASE WHEN status IN ('ok', 'dead404') THEN 1 ELSE 0 END) OVE
 n AS (SELECT *, sum(CASE WHEN status IN ('error', 'pfail') THEN 1 ELSE 0 END) OVER (PARTITION BY host, grp ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS n FROM g),
 t AS (SELECT host, min(rk) AS trip_rk FROM n WHERE status IN ('error', 'pfail') AND n >= 8 GROUP BY host),
 h AS (SELECT n.host, CAST(count(*) AS BIGINT) AS polls, max(t.trip_rk) IS NOT NULL AS tripped,
-             max(ts) FILTER (WHERE rk = trip_rk) AS tripped_at, CAST(count(*) FILTER (WHERE rk > trip_rk) AS BIGINT) AS skipped
+             max(ts) FILTER (WHERE rk = trip_rk) AS tripped_at
       FROM n LEFT JOIN t USING (host) GROUP BY n.host)"""
 
 
-@register("W4_host_trips", _SQL_TRIPS + f"\nSELECT host, polls, tripped, {S.ts_text('tripped_at')} AS tripped_at, skipped FROM h")
+@register("W4_host_trips", _SQL_TRIPS + f"\nSELECT host, polls, tripped, {S.ts_text('tripped_at')} AS tripped_at FROM h")
 def q_host_trips(spark, sf):
     t = health.host_trips(poll_log(spark, sf), trip_after=8)
-    return t.select("host", "polls", "tripped", ts_text(F.col("tripped_at")).alias("tripped_at"), "skipped")
+    return t.select("host", "polls", "tripped", ts_text(F.col("tripped_at")).alias("tripped_at"))
 
 
 @register("A13_tripped_summary", _SQL_TRIPS + """
-SELECT CAST(count(*) AS BIGINT) AS hosts_tripped, CAST(coalesce(sum(skipped), 0) AS BIGINT) AS skipped,
-       coalesce(array_to_string(list_sort(list(host)), ','), '') AS hosts FROM h WHERE tripped""")
+SELECT strftime(tripped_at, '%Y-%m-%d') AS tripped_on, CAST(count(*) AS BIGINT) AS hosts_tripped FROM h WHERE tripped GROUP BY 1""")
 def q_tripped_summary(spark, sf):
     s = health.tripped_summary(health.host_trips(poll_log(spark, sf), trip_after=8))
-    return s.select("hosts_tripped", "skipped", F.array_join("hosts", ",").alias("hosts"))
+    return s.select(F.date_format("tripped_on", "yyyy-MM-dd").alias("tripped_on"), "hosts_tripped")
 
 
 # ---------------------------------------------------------------------------
@@ -472,9 +472,9 @@ def q_two_gate(spark, sf):
 , s AS (SELECT *, {S.keywords('hard', 'bag')} AS kw FROM g WHERE canonical_url <> '' AND title <> '' AND len(hard) > 0 AND len(bag) > 0),
 w AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY canonical_url ORDER BY finished_at DESC, o_orderkey DESC) = 1)
 SELECT canonical_url, raw_url, title, company_slug, ats_source, array_to_string(kw, '|') AS keywords_matched,
-       nullif(company, '') AS company, nullif(coalesce(description, '')[1:500], '') AS snippet,
-       nullif(coalesce(location, '')[1:200], '') AS location, nullif({S.country_of(None, 'location')}, '') AS country,
-       nullif(coalesce(coalesce(nullif(pay, ''), CASE WHEN {S.is_unpaid('title', 'description')} THEN 'Unpaid' END), '')[1:120], '') AS pay,
+       nullif(company, '') AS company, nullif(coalesce(description, ''), '') AS snippet,
+       nullif(coalesce(location, ''), '') AS location, nullif({S.country_of(None, 'location')}, '') AS country,
+       nullif(coalesce(coalesce(nullif(pay, ''), CASE WHEN {S.is_unpaid('title', 'description')} THEN 'Unpaid' END), ''), '') AS pay,
        posted_at, {S.ts_text('finished_at')} AS last_seen_at
 FROM w""")
 def q_listings(spark, sf):

@@ -15,18 +15,15 @@ from ..operators.dedup import distinct_pairs
 BOARD = ["company_slug", "ats_source"]
 
 
-def index_urls(index: DataFrame, max_pages: int | None = None, crawl_id: str | None = None) -> DataFrame:
+def index_urls(index: DataFrame, crawl_id: str | None = None) -> DataFrame:
     """JSON lines (``value``) -> ``url``; blank, malformed and url-less
     lines are skipped, only status 200 kept (absent status counts as 200, the
-    index was queried with that filter). ``page_no < max_pages`` caps pages
-    (S9). Without ``crawl_id`` the newest crawl is read (S10, a scalar
+    index was queried with that filter). Without ``crawl_id`` the newest crawl is read (S10, a scalar
     subquery over the crawl column, falling back to all rows when absent)."""
     d = index
     if "crawl_id" in d.columns:
         latest = crawl_id if crawl_id is not None else d.agg(F.max("crawl_id")).scalar()
         d = d.where(F.col("crawl_id") == latest)
-    if max_pages is not None and "page_no" in d.columns:
-        d = d.where(F.col("page_no") < max_pages)
     parsed = F.from_json(F.col("value"), "url string, status string")
     d = d.withColumn("_j", parsed)
     d = d.where(F.col("_j.url").isNotNull() & (F.col("_j.url") != "") & F.coalesce(F.col("_j.status") == "200", F.col("_j.status").isNull()))

@@ -1,8 +1,8 @@
 """Feed conformers bound to the driver tables.
 
 Each order is a posting of board ``'c' || o_custkey``. Postings are packed
-into bronze payloads of one run per block of 64 order keys (so no payload
-grows with the data) and pages of 8 within a run. The payload of each feed
+into bronze payloads of one run per block of order keys (so no payload grows
+with the data) and pages of two within a run, so runs have several pages. The payload of each feed
 is written in that feed's JSON/HTML dialect; the oracle computes the expected
 conformed columns directly from orders and customer, without JSON.
 """
@@ -16,12 +16,12 @@ from ..operators.conform import paged as P
 from . import sqlfrag as S
 from .catalog import PRIORITY_TITLE, SAMPLE_COUNTRIES, SAMPLE_LOCATIONS, STATUS_DESC, _case, _sql_case, _sql_list, register, table
 
-RUN_BLOCK = 64
-PAGE_SIZE = 8
+RUN_BLOCK = 1 << 15  # order keys of a run; a customer has a handful of orders in it
+PAGE_SIZE = 2
 FETCHED_AT = "2024-06-15 12:00:00"
 
 
-def base(spark, sf) -> DataFrame:
+def base(spark, sf, run_block: int = RUN_BLOCK) -> DataFrame:
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     d = o.join(c, o.o_custkey == c.c_custkey, "left")
@@ -43,14 +43,15 @@ def base(spark, sf) -> DataFrame:
         F.element_at(locs, (F.pmod(F.col("o_custkey"), F.lit(len(SAMPLE_LOCATIONS))) + 1).cast("int")).alias("loc_text"),
         F.col("c_name").alias("company"),
         F.when(F.col("o_orderstatus") == "P", F.lit("Internship")).otherwise(F.lit("")).alias("etype"),
-        F.floor(F.col("o_orderkey") / RUN_BLOCK).alias("block"),
+        F.floor(F.col("o_orderkey") / run_block).alias("block"),
     )
-    # position within (board, run): the partition holds at most RUN_BLOCK rows
+    # position within (board, run)
     w = Window.partitionBy("slug", "block").orderBy("oid")
     return d.withColumn("pos", F.row_number().over(w)).withColumn("page_no", F.floor((F.col("pos") - 1) / PAGE_SIZE).cast("int"))
 
 
-_SQL_BASE = f"""
+def sql_base(run_block: int = RUN_BLOCK) -> str:
+    return f"""
 WITH o AS (SELECT * FROM orders LEFT JOIN customer ON o_custkey = c_custkey),
 b AS (SELECT o_orderkey AS oid, 'c' || o_custkey AS slug, o_custkey AS cust, o_orderstatus AS st, o_orderpriority AS pr,
              {_sql_case('o_orderpriority', PRIORITY_TITLE, 'Kitchen Intern')} AS title,
@@ -60,11 +61,14 @@ b AS (SELECT o_orderkey AS oid, 'c' || o_custkey AS slug, o_custkey AS cust, o_o
              {_sql_list(SAMPLE_COUNTRIES)}[(c_nationkey % {len(SAMPLE_COUNTRIES)}) + 1] AS cc,
              {_sql_list(SAMPLE_LOCATIONS)}[(o_custkey % {len(SAMPLE_LOCATIONS)}) + 1] AS loc_text,
              c_name AS company, CASE WHEN o_orderstatus = 'P' THEN 'Internship' ELSE '' END AS etype,
-             floor(o_orderkey / {RUN_BLOCK}) AS block
+             floor(o_orderkey / {run_block}) AS block
       FROM o),
 bb AS (SELECT *, row_number() OVER (PARTITION BY slug, block ORDER BY oid) AS pos FROM b)"""
 
 
+_SQL_BASE = sql_base()
+
+
 def vjson(s: Column) -> Column:
     """A JSON string value as VARIANT (for polymorphic payload fields)."""
     return F.try_variant_get(F.parse_json(F.to_json(F.array(s))), "$[0]", "variant")
@@ -93,6 +97,18 @@ def bronze_rows(items: DataFrame, ats: str, wrap, slug: Column | None = None, by
     )
 
 
+def _of_other_runs(details: DataFrame, blank: str, only: Column | None = None) -> DataFrame:
+    """The details as an earlier run stored them, an older version beside each,
+    and a blank detail that a later run stored for the same posting. ``only``:
+    where a blank detail is no defined case (the posting's own is blank too)."""
+    at = F.col("fetched_at")
+    rows = details if only is None else details.withColumn("_blank", F.get_json_object("body", "$.jobPostingInfo.jobDescription") != "<p></p>")
+    later = (rows if only is None else rows.where(only)).withColumn("run_id", F.lit("r-later")).withColumn("fetched_at", at + F.make_interval(days=F.lit(2))).withColumn("body", F.lit(blank))
+    older = details.withColumn("run_id", F.lit("r-older")).withColumn("fetched_at", at - F.make_interval(days=F.lit(9))).withColumn("body", F.regexp_replace("body", "<p>", "<p>Old "))
+    first = details.withColumn("run_id", F.lit("r-first")).withColumn("fetched_at", at - F.make_interval(days=F.lit(1)))
+    return first.unionByName(older).unionByName(later.select(details.columns))
+
+
 def _obj(**kv) -> Column:
     return F.struct(*[v.alias(k) for k, v in kv.items()])
 
@@ -241,7 +257,7 @@ def q_smartrecruiters(spark, sf):
             additionalInformation=_obj(text=F.lit("")),
         )))).alias("body"),
     )
-    return _out(P.CONFORMERS["smartrecruiters"](lst.unionByName(det)))
+    return _out(P.CONFORMERS["smartrecruiters"](lst.unionByName(_of_other_runs(det, '{"jobAd": {"sections": {"jobDescription": {"text": " "}}}}'))))
 
 
 # --- P5 + S15 workable ----------------------------------------------------------
@@ -435,7 +451,7 @@ def q_jazzhr(spark, sf):
     title="title", description="''", posted_at="CAST(NULL AS VARCHAR)", employment_type="''",
     location="city || ', ' || region", country=S.country_of(None, "city || ', ' || region"),
     company=FALLBACK, pay="CAST(NULL AS VARCHAR)",
-) + f" FROM bb WHERE pos <= {PAGE_SIZE}")
+) + " FROM bb")
 def q_jobvite(spark, sf):
     b = base(spark, sf)
     row = F.concat(
@@ -487,4 +503,4 @@ def q_workday(spark, sf):
             startDate=F.col("posted"),
         ))).alias("body"),
     )
-    return _out(P.CONFORMERS["workday"](lst.unionByName(dup).unionByName(det)))
+    return _out(P.CONFORMERS["workday"](lst.unionByName(dup).unionByName(_of_other_runs(det, '{"jobPostingInfo": {"jobDescription": ""}}', F.col("_blank")))))

@@ -25,8 +25,11 @@ from .catalog import _sql_extract, register, table, ts_text
 # ---------------------------------------------------------------------------
 
 
+REFRESH_BLOCK = 64  # order keys of a run: many runs a board
+
+
 def refresh_inputs(spark, sf):
-    b = FB.base(spark, sf)
+    b = FB.base(spark, sf, REFRESH_BLOCK)
     item = F.struct(
         F.col("oid").alias("id"),
         F.concat(F.lit("https://boards.greenhouse.io/"), F.col("slug"), F.lit("/jobs/"), F.col("oid"), F.lit("?gh_src=x")).alias("absolute_url"),
@@ -57,7 +60,7 @@ def _refresh(spark, sf):
     return R.refresh(cut_lineage(bronze), companies, feeds=["greenhouse"])
 
 
-_SQL_REFRESH = FB._SQL_BASE + f""",
+_SQL_REFRESH = FB.sql_base(REFRESH_BLOCK) + f""",
 c AS (SELECT 'c' || c_custkey AS slug, CASE WHEN c_acctbal < -900 THEN false END AS still_active FROM customer),
 r AS (SELECT bb.*, CASE WHEN block % 5 = 0 THEN 'error' WHEN block % 11 = 0 THEN 'dead404' ELSE 'ok' END AS status
       FROM bb JOIN c USING (slug) WHERE c.still_active IS NULL),
@@ -68,7 +71,7 @@ g AS (SELECT *, {S.hard_gate('title', "''")} AS hard, {S.labels(S.field_text('ti
 l AS (SELECT canonical_url, raw_url, title, slug AS company_slug, 'greenhouse' AS ats_source,
              array_to_string({S.keywords('hard', 'bag')}, '|') AS keywords_matched,
              {S.display_name('slug')} AS company,
-             nullif(description[1:500], '') AS snippet, nullif(loc_text[1:200], '') AS location, nullif(country, '') AS country,
+             nullif(description, '') AS snippet, nullif(loc_text, '') AS location, nullif(country, '') AS country,
              CASE WHEN {S.is_unpaid('title', 'description')} THEN 'Unpaid' END AS pay,
              '{FB.FETCHED_AT}.000000' AS first_seen_at, '{FB.FETCHED_AT}.000000' AS last_seen_at
       FROM g WHERE len(hard) > 0 AND len(bag) > 0)"""
@@ -84,7 +87,7 @@ def q_refresh_listings(spark, sf):
     )
 
 
-@register("Q3_refresh_companies", FB._SQL_BASE + f""",
+@register("Q3_refresh_companies", FB.sql_base(REFRESH_BLOCK) + f""",
 c AS (SELECT 'c' || c_custkey AS slug, CASE WHEN c_acctbal < -900 THEN false END AS still_active FROM customer),
 r AS (SELECT DISTINCT slug, block, CASE WHEN block % 5 = 0 THEN 'error' WHEN block % 11 = 0 THEN 'dead404' ELSE 'ok' END AS status FROM bb),
 f AS (SELECT slug, min(block) FILTER (WHERE status = 'dead404') AS ret FROM r GROUP BY slug),
@@ -118,13 +121,9 @@ def q_scan(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# Q5 seed: events as organic results of the 14 bare site sweeps;
-# combo = user_id % 14, page = day of month, budget 100 credits.
+# Q5 seed: all events as organic results of the 14 bare site sweeps;
+# combo = user_id % 14, page = day of month.
 # ---------------------------------------------------------------------------
-SEED_MAX_PAGES = 10
-SEED_BUDGET = 100
-
-
 def seed_inputs(spark, sf):
     plan = SD.build_queries(SD.domains_table(spark), fields=[], include_bare=True)
     e = table(spark, sf, "events")
@@ -140,19 +139,13 @@ def seed_inputs(spark, sf):
         .otherwise(F.concat(F.lit("https://co"), F.col("user_id"), F.lit("."), F.col("domain"), F.lit("/jobs/"), F.col("event_id")))
     )
     results = ev.select("combo_idx", "page", F.col("event_id").alias("position"), link.alias("link"), F.concat(F.lit("Result "), F.col("event_id")).alias("title"))
-    counts = results.groupBy("combo_idx", "page").agg(F.count(F.lit(1)).alias("n_results"))
-    pages = plan.select("combo_idx", F.explode(F.sequence(F.lit(1), F.lit(SEED_MAX_PAGES))).alias("page"))
-    responses = pages.join(counts, ["combo_idx", "page"], "left").select(
-        "combo_idx", "page", F.lit(None).cast("int").alias("credits"), F.coalesce("n_results", F.lit(0)).alias("n_results")
-    )
+    responses = results.groupBy("combo_idx", "page").agg(F.count(F.lit(1)).alias("n_results")).withColumn("credits", F.lit(None).cast("int"))
     return plan, responses, results
 
 
 def _seed(spark, sf):
     plan, responses, results = seed_inputs(spark, sf)
-    kept = SD.requested(responses, SEED_MAX_PAGES, SEED_BUDGET)
-    flat = SD.flatten(results, kept, plan)
-    return plan, kept, flat
+    return plan, SD.spending(responses), SD.flatten(results, plan)
 
 
 _DOMAIN_VALUES = ", ".join(f"({i}, {S.q(d)}, {S.q(a)}, {S.q(s)})" for i, (d, a, s) in enumerate(V.SEED_DOMAINS))
@@ -166,15 +159,10 @@ res AS (SELECT ev.combo_idx, ev.page, ev.event_id AS position, 'Result ' || ev.e
                     WHEN plan.slug_in = 'path' THEN 'https://' || plan.domain || '/co' || user_id || '/' || event_id
                     ELSE 'https://co' || user_id || '.' || plan.domain || '/jobs/' || event_id END AS url
         FROM ev JOIN plan USING (combo_idx)),
-cnt AS (SELECT combo_idx, page, count(*) AS n FROM res GROUP BY 1, 2),
-resp AS (SELECT p.combo_idx, g.page, coalesce(cnt.n, 0) AS n FROM plan p CROSS JOIN generate_series(1, {SEED_MAX_PAGES}) g(page)
-         LEFT JOIN cnt ON cnt.combo_idx = p.combo_idx AND cnt.page = g.page),
-alive AS (SELECT *, coalesce(min(CASE WHEN n >= 10 THEN 1 ELSE 0 END) OVER (PARTITION BY combo_idx ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS prev_full FROM resp),
-sp AS (SELECT *, sum(1) OVER (ORDER BY page, combo_idx ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS spent_before FROM alive WHERE prev_full = 1),
-kept AS (SELECT * FROM sp WHERE spent_before < {SEED_BUDGET}),
-kr AS (SELECT res.*, row_number() OVER () AS rid FROM res JOIN kept USING (combo_idx, page)),""" + _sql_extract("kr", V.SEED_DOMAINS) + """,
+kept AS (SELECT combo_idx, page, row_number() OVER (ORDER BY page, combo_idx) - 1 AS spent_before FROM (SELECT DISTINCT combo_idx, page FROM res)),
+kr AS (SELECT res.*, row_number() OVER () AS rid FROM res),""" + _sql_extract("kr", V.SEED_DOMAINS) + """,
 flat AS (SELECT e.rid, e.combo_idx, plan.q AS query, e.page, e.position, e.url, coalesce(e.ats_source, plan.ats) AS ats,
-                coalesce(e.company_slug, '') AS slug, e.title[1:200] AS title FROM e JOIN plan USING (combo_idx))"""
+                coalesce(e.company_slug, '') AS slug, e.title AS title FROM e JOIN plan USING (combo_idx))"""
 
 
 @register("W5_W6_W7_requests", _SQL_SEED.split(",\nkr AS")[0] + "\nSELECT combo_idx, page, CAST(spent_before AS BIGINT) AS spent_before FROM kept")
@@ -402,6 +390,7 @@ def q_pollable(spark, sf):
 w AS (SELECT host, CASE WHEN host IS NULL THEN 1 ELSE CAST(ceil(row_number() OVER (PARTITION BY host ORDER BY company_slug) / {PER_HOST}) AS INTEGER) END AS wave FROM p)
 SELECT host, wave, CAST(count(*) AS BIGINT) AS boards FROM w GROUP BY host, wave""")
 def q_waves(spark, sf):
+    # boards numbered within their host, in batches of PER_HOST
     b = health.with_host(health.pollable(queue_companies(spark, sf)), registry_table(spark))
     w = health.poll_waves(b, run_id="run-1", per_host=PER_HOST)
     return w.groupBy("host", "wave").agg(F.count(F.lit(1)).alias("boards"))

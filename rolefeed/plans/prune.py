@@ -7,10 +7,13 @@ share is strictly above ``safety`` (an empty table never trips it).
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import values as V
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import TableStore
 
 BOARD = ["company_slug", "ats_source"]
@@ -61,9 +64,14 @@ def bucket_counts(classified: DataFrame) -> DataFrame:
 
 
 def survivors(classified: DataFrame, safety: float = V.SAFETY_FRACTION) -> DataFrame:
-    """Q2 as one plan: the listings left after pruning. When the gate trips
-    nothing is deleted (every row survives). The verdict is a scalar subquery,
-    evaluated once, not a join."""
+    """Q2: the listings left after pruning. When the gate trips nothing is
+    deleted (every row survives). The classified rows are written once, so the
+    join runs once for the counts and the survivors; the verdict is a scalar
+    subquery over the bucket column alone, not a join."""
+    spark = classified.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/classified-{uuid.uuid4().hex}"
+    classified.write.parquet(path)
+    classified = spark.read.schema(classified.schema).parquet(path)
     breach = report(classified, safety).select("breach").scalar()
     return classified.where((F.col("bucket") == "keep") | breach)
 

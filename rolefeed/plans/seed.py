@@ -1,4 +1,4 @@
-"""Seed from search captures.
+"""Seed from search captures.
 
 Captures are read, never requested: a response row per (combo, page) with its
 credit cost and result count, and one row per organic result.
@@ -7,15 +7,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from ..functions.text import truncate
 from ..operators.boards import extract_board
 from ..operators.streaks import running_sum
-
-FULL_PAGE = 10  # Fixed value: a page is full at 10 results.
+from ..sources.tables import merge
 
 CAPTURE_SCHEMA = (
     "q string, domain string, ats string, field string, page int, "
@@ -56,35 +54,24 @@ def limit_queries(plan: DataFrame, max_queries: int | None) -> DataFrame:
     return plan if not max_queries else plan.where(F.col("combo_idx") < max_queries)
 
 
-def requested(responses: DataFrame, max_pages: int, budget: int | None) -> DataFrame:
-    """W6 + W7 + W5: which captured responses the breadth-first run paid for.
-
-    ``responses``: combo_idx, page, credits, n_results (one row per captured
-    page). A page counts only if every earlier page of its combo was captured
-    and full (W6). In breadth-first order (all page 1s, then page 2s, W7) a
-    request is made while the credits spent before it are below ``budget``;
-    each costs ``credits``, or 1 when missing or 0 (W5).
-    """
-    r = responses.where(F.col("page").between(1, max_pages))
-    w = Window.partitionBy("combo_idx").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
-    r = r.withColumn("_prev_full", F.coalesce(F.min((F.col("n_results") >= FULL_PAGE).cast("int")).over(w), F.lit(1)) == 1)
-    r = r.withColumn("_rank", F.row_number().over(Window.partitionBy("combo_idx").orderBy("page")))
-    alive = r.where(F.col("_prev_full") & (F.col("_rank") == F.col("page"))).drop("_prev_full", "_rank")
+def spending(responses: DataFrame) -> DataFrame:
+    """W5 + W7 over a capture: the credits spent before each captured page, in
+    breadth-first order (all page 1s, then page 2s). ``responses``: combo_idx,
+    page, credits, n_results, one row per captured page; a page costs
+    ``credits``, or 1 when missing or 0. Every captured page is kept: a capture
+    holds what was requested, so no budget and no stop rule is replayed."""
     cost = F.when(F.coalesce(F.col("credits"), F.lit(0)) == 0, F.lit(1)).otherwise(F.col("credits"))
-    alive = alive.withColumn("cost", cost)
-    if budget is None:
-        return alive.withColumn("spent_before", F.lit(None).cast("bigint"))
-    bucket = F.col("page") * F.lit(1 << 20) + F.floor(F.col("combo_idx") / 1024)
-    run = running_sum(alive, [], ["page", "combo_idx"], bucket, F.col("cost"), name="_spent")
-    run = run.withColumn("spent_before", F.col("_spent") - F.col("cost")).drop("_spent")
-    return run.where(F.col("spent_before") < budget)
-
-
-def flatten(results: DataFrame, kept: DataFrame, plan: DataFrame) -> DataFrame:
-    """P17 + S13: one row per organic result of a paid response: query, field,
-    page, position, url, ats, slug, title (cut at 200). A URL that names no
-    board keeps the combo's feed and an empty slug."""
-    r = results.join(kept.select("combo_idx", "page"), ["combo_idx", "page"], "left_semi").join(plan.select("combo_idx", "q", "field", F.col("ats").alias("_q_ats")), "combo_idx")
+    r = responses.withColumn("cost", cost)
+    bucket = F.struct(F.col("page").alias("page"), F.floor(F.col("combo_idx") / 1024).alias("block"))
+    run = running_sum(r, [], ["page", "combo_idx"], bucket, F.col("cost"), name="_spent")
+    return run.withColumn("spent_before", F.col("_spent") - F.col("cost")).drop("_spent")
+
+
+def flatten(results: DataFrame, plan: DataFrame) -> DataFrame:
+    """P17 + S13: one row per organic result of a capture: query, field, page,
+    position, url, ats, slug, title. A URL that names no board keeps the
+    combo's feed and an empty slug."""
+    r = results.join(plan.select("combo_idx", "q", "field", F.col("ats").alias("_q_ats")), "combo_idx")
     b = extract_board(r.withColumnRenamed("link", "url"), "url")
     return b.select(
         "combo_idx",
@@ -95,7 +82,7 @@ def flatten(results: DataFrame, kept: DataFrame, plan: DataFrame) -> DataFrame:
         "url",
         F.coalesce(F.col("ats_source"), F.col("_q_ats")).alias("ats"),
         F.coalesce(F.col("company_slug"), F.lit("")).alias("slug"),
-        truncate(F.coalesce(F.col("title"), F.lit("")), 200).alias("title"),
+        F.coalesce(F.col("title"), F.lit("")).alias("title"),
     )
 
 
@@ -104,24 +91,30 @@ def seed_pairs(flat: DataFrame) -> DataFrame:
     return flat.where(F.col("slug") != "").select(F.col("slug").alias("company_slug"), F.col("ats").alias("ats_source")).dropDuplicates()
 
 
-def summary(plan: DataFrame, kept: DataFrame, flat: DataFrame) -> DataFrame:
+def summary(plan: DataFrame, spent: DataFrame, flat: DataFrame) -> DataFrame:
     """Combos, credits used, result rows, unique pairs (one row, built from
     three one-row aggregates joined on a constant-free scalar form)."""
     combos = plan.agg(F.count(F.lit(1)).alias("c")).scalar()
-    credits = kept.agg(F.coalesce(F.sum("cost"), F.lit(0))).scalar()
+    credits = spent.agg(F.coalesce(F.sum("cost"), F.lit(0))).scalar()
     rows = flat.agg(F.count(F.lit(1))).scalar()
     pairs = seed_pairs(flat).agg(F.count(F.lit(1))).scalar()
     return plan.sparkSession.range(1).select(combos.alias("queries"), credits.alias("credits"), rows.alias("rows"), pairs.alias("unique_pairs"))
 
 
-def read_captures(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """JSONL captures -> (responses, results)."""
-    c = spark.read.schema(CAPTURE_SCHEMA).json(path)
-    responses = c.select("q", "page", F.col("response.credits").alias("credits"), F.size(F.coalesce("response.organic", F.array())).alias("n_results"))
-    results = c.select("q", "page", F.explode("response.organic").alias("o")).select("q", "page", "o.position", "o.link", "o.title")
+def read_captures(spark: SparkSession, path: str, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """JSONL captures -> (responses, results), with the combo of the plan
+    whose query each capture answers, as ``spending`` and ``flatten`` take them."""
+    c = spark.read.schema(CAPTURE_SCHEMA).json(path).join(plan.select("q", "combo_idx"), "q")
+    responses = c.select("combo_idx", "page", F.col("response.credits").alias("credits"), F.size(F.coalesce("response.organic", F.array())).alias("n_results"))
+    results = c.select("combo_idx", "page", F.explode("response.organic").alias("o")).select("combo_idx", "page", "o.position", "o.link", "o.title")
     return responses, results
 
 
+def seed_boards(results: DataFrame, plan: DataFrame, companies: DataFrame) -> DataFrame:
+    """Q5 -> S4: the boards of a capture upserted into ``companies``; known ones keep their columns."""
+    return merge(companies, seed_pairs(flatten(results, plan)), ["company_slug", "ats_source"])
+
+
 def write_captures(df: DataFrame, path: str) -> None:
     """Raw captures as JSON lines, before any parsing."""
     df.write.mode("errorifexists").json(path)

@@ -34,17 +34,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is read as is.
-    Only when it is unset (tests, local runs) is a scratch folder created.
+    On a cluster that setting points at shared storage and is read as is; it is
+    an error if it is missing. Only a session on this machine alone (tests,
+    local runs) gets a scratch folder of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if not d:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: intermediate tables need a folder that all executors share")
         d = tempfile.mkdtemp(prefix="rolefeed-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        spark.sparkContext.setCheckpointDir(d)
-    except Exception:  # sessions without a SparkContext handle use the conf alone
-        pass
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(d)
     return d
 
 
@@ -52,16 +54,3 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
-
-
-def spread(df, min_partitions: int | None = None):
-    """Round-robin ``df`` over the cluster only when its scan yields fewer
-    partitions than the default parallelism (e.g. a small single-row-group
-    file feeding CPU-heavy regex or HTML work). Large inputs already have many
-    splits and are returned unchanged, so no shuffle is added at scale."""
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # sessions without the RDD API: leave the plan as is
-        return df
-    return df.repartition(want) if have < want else df

@@ -65,6 +65,21 @@ def test_host_trips_and_running_count(spark):
     seqs = {"x1": ["error"] * 5 + ["ok"] + ["pfail"] * 9 + ["ok"]}
     df = polls_df(spark, seqs, 1).withColumn("host", F.lit("api.lever.co"))
     r = health.host_trips(df, trip_after=8).collect()[0]
-    assert r["tripped"] and r["skipped"] == 2 and r["polls"] == 16
+    assert r["tripped"] and r["tripped_at"] == T0 + dt.timedelta(hours=13) and r["polls"] == 16
     rc = streaks.running_count(df, ["host"], ["seq"], F.date_trunc("hour", "finished_at") , name="rk").orderBy("seq").collect()
     assert [x["rk"] for x in rc] == list(range(1, 17))
+
+
+def test_run_summary_counts_a_board_retired_by_a_404_once(spark):
+    seqs = {"gone": ["dead404", "ok"], "worn": ["pfail"] * 3, "fine": ["ok"]}
+    polls = polls_df(spark, seqs, 1).withColumn("run_id", F.lit("r1")).withColumn("seen", F.lit(2)).withColumn("matched", F.lit(1))
+    state = health.board_health(polls)
+    (row,) = health.run_summary(polls, retired=health.retired_in(state)).collect()
+    assert (row["retired"], row["dead404"], row["persistent_fail"], row["boards_matched"], row["jobs_seen"]) == (2, 1, 3, 2, 4)
+
+
+def test_retirement_in_a_later_bucket_hides_what_follows(spark):
+    seqs = {"b": ["ok", "pfail", "error", "pfail", "pfail", "ok", "ok"]}
+    for hours in (0, 1, 30):
+        r = health.board_health(polls_df(spark, seqs, hours)).first()
+        assert (r["fail_count"], r["still_active"], r["polls_used"]) == (2, False, 5), hours
