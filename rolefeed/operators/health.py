@@ -114,6 +114,24 @@ def host_trips(
     return out.select("host", "polls", F.col("_trip").isNotNull().alias("tripped"), F.col("_trip").getField(order[0]).alias("tripped_at"))
 
 
+def host_state(polls: DataFrame, state: DataFrame, trip_after: int, order: Sequence[str] = ("finished_at", "seq"), bucket: Column | None = None) -> DataFrame:
+    """One batch of polls folded into the hosts' state (``host, streak,
+    tripped_at``): the streak at the end of the batch and the first trip. The
+    first streak of the batch continues the stored one; a hot host is spread
+    over its buckets as in :func:`host_trips`."""
+    order = list(order)
+    bucket = bucket if bucket is not None else F.date_trunc("minute", F.col(order[0]))
+    fail = F.col("status").isin("error", "pfail")
+    s = streak_since_reset(polls.where(F.col("host").isNotNull()), ["host"], order, bucket, fail, ~fail)
+    s = s.join(state.select("host", F.col("streak").alias("_s0"), F.col("tripped_at").alias("_t0")), "host", "left")
+    n = F.col("streak") + F.when(F.col("resets") == 0, F.coalesce("_s0", F.lit(0))).otherwise(F.lit(0))
+    at = F.struct(*[F.col(c) for c in order])
+    out = s.withColumn("_n", n).groupBy("host").agg(
+        F.max(F.struct(at.alias("o"), F.col("_n").alias("n"))).alias("_last"), F.first("_t0", ignorenulls=True).alias("_t0"),
+        F.min(F.when(fail & (F.col("_n") >= trip_after), F.col(order[0]))).alias("_trip"))
+    return out.select("host", F.col("_last.n").cast("long").alias("streak"), F.coalesce("_t0", "_trip").alias("tripped_at"))
+
+
 def tripped_summary(trips: DataFrame) -> DataFrame:
     """Hosts tripped, by the day of their first trip."""
     return trips.where("tripped").groupBy(F.to_date("tripped_at").alias("tripped_on")).agg(F.count(F.lit(1)).alias("hosts_tripped"))

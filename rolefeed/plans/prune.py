@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from ..session import ensure_checkpoint_dir
-from ..sources.tables import TableStore
+from ..session import cut_lineage, ensure_checkpoint_dir
+from ..sources.tables import KeyedTable
 
 BOARD = ["company_slug", "ats_source"]
 
@@ -76,16 +76,16 @@ def survivors(classified: DataFrame, safety: float = V.SAFETY_FRACTION) -> DataF
     return classified.where((F.col("bucket") == "keep") | breach)
 
 
-def run_prune(store: TableStore, dry_run: bool = False, margin_hours: float = V.STALE_MARGIN_HOURS, safety: float = V.SAFETY_FRACTION) -> dict:
-    """Q2: classify, gate (one-row action), then write the next listings
-    version without the doomed rows. A dry run reports the breach instead of
-    raising."""
-    listings = store.read("listings")
-    classified = classify(listings, store.read("companies"), margin_hours)
-    rep = report(classified, safety).collect()[0].asDict()
+def run_prune(listings: KeyedTable, companies: DataFrame, dry_run: bool = False, margin_hours: float = V.STALE_MARGIN_HOURS,
+              safety: float = V.SAFETY_FRACTION) -> dict:
+    """Q2: classify, gate (one-row action), then delete the doomed rows. A dry
+    run reports the breach instead of raising."""
+    keyed = classify(listings.read(), companies, margin_hours).select("canonical_url", "bucket")
+    keyed = cut_lineage(keyed)  # key and bucket, read for the report and for the deletes
+    rep = report(keyed, safety).collect()[0].asDict()
     if rep["breach"] and not dry_run:
         raise PruneAborted(f"would prune {rep['doomed']}/{rep['total']} ({rep['share']:.0%} > {safety:.0%})")
     if dry_run or rep["doomed"] == 0:
         return {**rep, "deleted": 0}
-    store.write("listings", classified.where(F.col("bucket") == "keep").drop("bucket"))
+    listings.delete(keyed.where(F.col("bucket") != "keep").select("canonical_url"))
     return {**rep, "deleted": rep["doomed"]}

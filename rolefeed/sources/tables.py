@@ -1,11 +1,10 @@
-"""Versioned Parquet tables.
-
-A table is a folder of versions ``<root>/<name>/v=<n>/``. A write produces
-version n+1 next to the one being read (never overwriting the input) and a
-reader takes the highest version that carries Spark's ``_SUCCESS`` marker, so
-a crashed writer leaves the previous version current. Paths go through the
-Hadoop FileSystem API, so the same code runs on HDFS, object stores and local
-disk.
+"""Keyed Parquet tables (S1-S6) with plain Spark reads and writes.
+
+A :class:`KeyedTable` is a folder of Parquet files partitioned by a hash bucket
+of its key. An upsert reads and rewrites only the buckets that its rows fall
+into (dynamic partition overwrite); the files of all other buckets stay as they
+are. :func:`merge`, :func:`patch` and :func:`delete` are the same steps on
+DataFrames.
 """
 from __future__ import annotations
 
@@ -14,84 +13,78 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
+BUCKET = "_bucket"
+
+
+class KeyedTable:
+    """Table at ``path`` with one row per ``keys``; ``schema`` as DDL. Choose
+    ``buckets`` so that a bucket is some hundred MB."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], buckets: int = 64):
+        self.spark, self.path, self.keys, self.buckets = spark, path, list(keys), buckets
+        self.schema = schema
+
+    def _bucketed(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
 
-class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._conf = spark.sparkContext._jsc.hadoopConfiguration()
-
-    # -- versions -------------------------------------------------------------
-    def _fs(self, path: str):
-        return self._Path(path).getFileSystem(self._conf)
-
-    def versions(self, name: str) -> list[int]:
-        base = f"{self.root}/{name}"
-        fs = self._fs(base)
-        p = self._Path(base)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            n = st.getPath().getName()
-            if n.startswith("v=") and fs.exists(self._Path(st.getPath(), "_SUCCESS")):
-                out.append(int(n[2:]))
-        return sorted(out)
-
-    def current_path(self, name: str) -> str | None:
-        v = self.versions(name)
-        return f"{self.root}/{name}/v={v[-1]}" if v else None
-
-    def exists(self, name: str) -> bool:
-        return bool(self.versions(name))
-
-    # -- S1 / S2 --------------------------------------------------------------
-    def read(self, name: str) -> DataFrame:
-        """The whole current version (Parquet; pushdown and pruning apply)."""
-        p = self.current_path(name)
-        if p is None:
-            raise FileNotFoundError(f"table {name!r} has no committed version under {self.root}")
-        return self.spark.read.parquet(p)
-
-    def select(self, name: str, columns: Sequence[str], where: Column | str | None = None, order: Sequence[str] = ()) -> DataFrame:
+    def _write(self, df: DataFrame, mode: str) -> None:
+        columns = self.spark.createDataFrame([], self.schema).columns
+        out = self._bucketed(df.select(*columns)).repartition(BUCKET)
+        out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.path)
+
+    def create(self, rows: DataFrame | None = None) -> KeyedTable:
+        self._write(rows if rows is not None else self.spark.createDataFrame([], self.schema), "errorifexists")
+        return self
+
+    def _stored(self) -> DataFrame:
+        return self.spark.read.schema(f"{self.schema}, {BUCKET} int").parquet(self.path)
+
+    def read(self) -> DataFrame:
+        """All rows (pushdown and pruning apply)."""
+        return self._stored().drop(BUCKET)
+
+    def select(self, columns: Sequence[str], where: Column | str | None = None, order: Sequence[str] = ()) -> DataFrame:
         """Named columns under a predicate, ordered. No row cap."""
-        df = self.read(name)
-        if where is not None:
-            df = df.where(where)
+        df = self.read() if where is None else self.read().where(where)
         df = df.select(*columns)
         return df.orderBy(*order) if order else df
 
-    # -- writes ---------------------------------------------------------------
-    def write(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        """Write ``df`` as the next version and return its number."""
-        v = (self.versions(name) or [0])[-1] + 1
-        w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(f"{self.root}/{name}/v={v}")
-        return v
-
-    def append(self, name: str, rows: DataFrame) -> int:
-        """S3: plain insert; the new version is the old rows plus ``rows``."""
-        if not self.exists(name):
-            return self.write(name, rows)
-        return self.write(name, self.read(name).unionByName(rows, allowMissingColumns=True))
-
-    def upsert(self, name: str, rows: DataFrame, keys: Sequence[str], **kw) -> int:
-        """S4 against a stored table (see :func:`merge`)."""
-        if not self.exists(name):
-            return self.write(name, rows)
-        return self.write(name, merge(self.read(name), rows, keys, **kw))
-
-    def patch(self, name: str, match: Column, values: Mapping[str, Column]) -> int:
-        """S5."""
-        return self.write(name, patch(self.read(name), match, values))
-
-    def delete(self, name: str, ids: DataFrame, keys: Sequence[str]) -> int:
-        """S6."""
-        return self.write(name, delete(self.read(name), ids, keys))
+    def near(self, rows: DataFrame) -> DataFrame:
+        """The stored rows of the buckets that the keys of ``rows`` fall into;
+        the other buckets are pruned. At most ``buckets`` numbers are collected."""
+        touched = [r[0] for r in self._bucketed(rows.select(*self.keys)).select(BUCKET).distinct().collect()]
+        return self._stored().where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+
+    def append(self, rows: DataFrame) -> None:
+        """S3: plain insert of new keys; no stored file is read or rewritten."""
+        self._write(rows, "append")
+
+    def upsert(self, rows: DataFrame, **options) -> None:
+        """S4 (see :func:`merge`) on the touched buckets only."""
+        rows = cut_lineage(rows)
+        self._write(cut_lineage(merge(self.near(rows), rows, self.keys, **options)), "overwrite")
+
+    def patch(self, match: Column, values: Mapping[str, Column]) -> None:
+        """Only buckets with a matching row are rewritten."""
+        hit = self.read().where(F.coalesce(match, F.lit(False))).select(*self.keys)
+        self._write(cut_lineage(patch(self.near(hit), match, values)), "overwrite")
+
+    def delete(self, ids: DataFrame) -> None:
+        """Stored rows whose key is in ``ids``, in their buckets only; when a
+        bucket is left without a row the table is rewritten."""
+        ids = cut_lineage(ids.select(*self.keys))
+        old = self.near(ids)
+        left = cut_lineage(delete(old, ids, self.keys))
+        emptied = self._bucketed(old.select(*self.keys)).select(BUCKET).distinct().join(self._bucketed(left.select(*self.keys)).select(BUCKET).distinct(), BUCKET, "left_anti")
+        marker = [r[0] for r in emptied.collect()]
+        if marker:  # dynamic overwrite leaves a partition that gets no row: rewrite the table without it
+            whole = cut_lineage(delete(self.read(), ids, self.keys))
+            out = self._bucketed(whole).repartition(BUCKET)
+            out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(self.path)
+        else:
+            self._write(left, "overwrite")
 
 
 def merge(

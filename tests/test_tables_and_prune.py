@@ -1,7 +1,9 @@
 """S3-S6 semantics and prune boundaries (FIXTURES D)."""
 import datetime as dt
+import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from rolefeed.plans import prune as pr
@@ -27,16 +29,27 @@ def test_monotone_stamp(spark):
     assert T.merge(tgt, src, ["k"], monotone=["seen"]).collect()[0]["seen"] == T0
 
 
-def test_store_versions_patch_delete(spark):
-    store = T.TableStore(spark, tempfile.mkdtemp(prefix="rolefeed-store-"))
-    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, s string")
-    store.write("t", df)
-    store.patch("t", F.col("id") == 2, {"s": F.lit("B")})
-    store.delete("t", spark.createDataFrame([(3,)], "id int"), ["id"])
-    store.append("t", spark.createDataFrame([(4, "d")], "id int, s string"))
-    assert sorted(tuple(r) for r in store.read("t").collect()) == [(1, "a"), (2, "B"), (4, "d")]
-    assert store.versions("t") == [1, 2, 3, 4]
-    assert [tuple(r) for r in store.select("t", ["s"], F.col("id") > 1, ["s"]).collect()] == [("B",), ("d",)]
+def _files(path):
+    return {os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.startswith("part-")}
+
+
+def test_keyed_table_rewrites_touched_buckets_only(spark):
+    path = tempfile.mkdtemp(prefix="rolefeed-keyed-") + "/t"
+    t = T.KeyedTable(spark, path, "id int, s string", ["id"], 8).create(spark.createDataFrame([(i, f"v{i}") for i in range(100)], "id int, s string"))
+    rows = lambda: dict(map(tuple, t.read().collect()))
+    before = _files(path)
+    t.upsert(spark.createDataFrame([(7, "new")], "id int, s string"))
+    after = _files(path)
+    assert len(before - after) == len(after - before) == 1 and rows()[7] == "new" and len(rows()) == 100
+    t.patch(F.col("id") == 9, {"s": F.lit("patched")})
+    t.delete(spark.createDataFrame([(3,)], "id int"))
+    kept = _files(path)
+    t.append(spark.createDataFrame([(500, "added")], "id int, s string"))
+    assert kept < _files(path)
+    assert rows() == {i: f"v{i}" for i in range(100) if i != 3} | {7: "new", 9: "patched", 500: "added"}
+    assert [r["s"] for r in t.select(["s"], F.col("id") > 98, ["s"]).collect()] == ["added", "v99"]
+    t.delete(t.read().select("id"))
+    assert t.read().collect() == []
 
 
 def test_prune_boundaries(spark):
@@ -65,15 +78,11 @@ def test_gate_share_boundaries(spark):
 
 
 def test_run_prune_apply_and_abort(spark):
-    store = T.TableStore(spark, tempfile.mkdtemp(prefix="rolefeed-prune-"))
-    store.write("listings", spark.createDataFrame([(f"u{i}", "b", "lever", T0) for i in range(10)] + [("x", "gone", "lever", T0)], LS))
-    store.write("companies", spark.createDataFrame([("b", "lever", None, T0), ("gone", "lever", None, T0 + dt.timedelta(days=1))], CS))
-    rep = pr.run_prune(store)
-    assert rep["deleted"] == 1 and store.read("listings").count() == 10
-    store.write("companies", spark.createDataFrame([("b", "lever", False, T0)], CS))
-    try:
-        pr.run_prune(store)
-        raise AssertionError("expected abort")
-    except pr.PruneAborted:
-        pass
-    assert pr.run_prune(store, dry_run=True)["breach"] is True
+    t = T.KeyedTable(spark, tempfile.mkdtemp(prefix="rolefeed-prune-") + "/t", LS, ["canonical_url"], 4)
+    t.create(spark.createDataFrame([(f"u{i}", "b", "lever", T0) for i in range(10)] + [("x", "gone", "lever", T0)], LS))
+    healthy = spark.createDataFrame([("b", "lever", None, T0), ("gone", "lever", None, T0 + dt.timedelta(days=1))], CS)
+    assert pr.run_prune(t, healthy)["deleted"] == 1 and t.read().count() == 10
+    retired = spark.createDataFrame([("b", "lever", False, T0)], CS)
+    with pytest.raises(pr.PruneAborted):
+        pr.run_prune(t, retired)
+    assert pr.run_prune(t, retired, dry_run=True)["breach"] is True and t.read().count() == 10
