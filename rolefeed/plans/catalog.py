@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..functions import geo, misc, rules, text, urls
 from ..functions import values as V
 from ..operators import dedup, health, listings
-from ..operators.boards import extract_board
+from ..operators.boards import classify_ats, extract_board
 from . import discover as disc
 from . import prune as pr
 from . import sqlfrag as S
@@ -405,6 +405,20 @@ def q_discover(spark, sf):
     return _discover(spark, sf)
 
 
+@register("P20_P21_E5_classify_ats", """
+SELECT page_id, CASE WHEN page_id % 6 < 5 THEN ['greenhouse', 'greenhouse', 'breezy', 'lever', 'greenhouse'][(page_id % 6) + 1] END AS ats_source,
+       CASE WHEN page_id % 6 < 4 THEN 'co' || page_id END AS company_slug FROM pages""")
+def q_classify_ats(spark, sf):
+    """Board URLs of the page ids in the forms of the registry; the sixth keeps its own URL."""
+    p = table(spark, sf, "pages")
+    n, form = F.concat(F.lit("Co"), F.col("page_id")), F.pmod(F.col("page_id"), F.lit(6))
+    url = (F.when(form == 0, F.concat(F.lit("https://boards.greenhouse.io/"), n, F.lit("/jobs/1")))
+           .when(form == 1, F.concat(F.lit("https://boards.greenhouse.io/embed/job_board?x=1&for="), n))
+           .when(form == 2, F.concat(F.lit("https://"), n, F.lit(".breezy.hr/p/1"))).when(form == 3, F.concat(F.lit("https://jobs.lever.co/"), n))
+           .when(form == 4, F.lit("https://job-boards.greenhouse.io/")).otherwise(F.col("url")))
+    return classify_ats(p.select("page_id", url.alias("url"))).select("page_id", "ats_source", "company_slug")
+
+
 @register("A4_discover_counts", _SQL_DISCOVER + "\nSELECT pattern, CAST(count(*) AS BIGINT) AS new_boards FROM new GROUP BY ROLLUP (pattern)")
 def q_discover_counts(spark, sf):
     return disc.counts_by_pattern(_discover(spark, sf))

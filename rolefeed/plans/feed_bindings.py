@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import values as V
 from ..operators.conform import paged as P
 from . import sqlfrag as S
-from .catalog import PRIORITY_TITLE, SAMPLE_COUNTRIES, SAMPLE_LOCATIONS, STATUS_DESC, _case, _sql_case, _sql_list, register, table
+from .catalog import PRIORITY_TITLE, SAMPLE_COUNTRIES, SAMPLE_LOCATIONS, STATUS_DESC, _case, _sql_case, _sql_list, REGISTRY, register, table
 
 RUN_BLOCK = 1 << 15  # order keys of a run; a customer has a handful of orders in it
 PAGE_SIZE = 2
@@ -146,6 +146,10 @@ FALLBACK = S.display_name("slug")
     company=f"CASE WHEN pr = '2-HIGH' THEN {FALLBACK} ELSE company END", pay="CAST(NULL AS VARCHAR)",
 ) + " FROM bb")
 def q_greenhouse(spark, sf):
+    return _out(P.CONFORMERS["greenhouse"](greenhouse_payloads(spark, sf)))
+
+
+def greenhouse_payloads(spark, sf) -> DataFrame:
     b = base(spark, sf)
     item = _obj(
         id=F.col("oid"),
@@ -158,7 +162,7 @@ def q_greenhouse(spark, sf):
         location=_obj(name=F.col("loc_text")),
     )
     bronze = bronze_rows(b.withColumn("item", item), "greenhouse", _json_root("jobs"), by_page=False)
-    return _out(P.CONFORMERS["greenhouse"](bronze))
+    return bronze
 
 
 # --- P2 lever -----------------------------------------------------------------
@@ -172,6 +176,10 @@ def q_greenhouse(spark, sf):
     company=FALLBACK, pay="CAST(NULL AS VARCHAR)",
 ) + " FROM bb")
 def q_lever(spark, sf):
+    return _out(P.CONFORMERS["lever"](lever_payloads(spark, sf)))
+
+
+def lever_payloads(spark, sf) -> DataFrame:
     b = base(spark, sf)
     item = _obj(
         hostedUrl=F.concat(F.lit("https://jobs.lever.co/"), F.col("slug"), F.lit("/"), F.col("oid"), F.lit("/")),
@@ -182,7 +190,7 @@ def q_lever(spark, sf):
         categories=_obj(location=F.col("loc_text"), commitment=F.col("etype")),
     )
     bronze = bronze_rows(b.withColumn("item", item), "lever", _json_array, by_page=False)
-    return _out(P.CONFORMERS["lever"](bronze))
+    return bronze
 
 
 # --- P3 ashby -----------------------------------------------------------------
@@ -195,6 +203,10 @@ def q_lever(spark, sf):
     pay="CASE WHEN pr = '1-URGENT' THEN '$50K – $60K' ELSE 'EUR 1k' END",
 ) + " FROM bb WHERE NOT (pr = '4-NOT SPECIFIED' AND st = 'F')")
 def q_ashby(spark, sf):
+    return _out(P.CONFORMERS["ashby"](ashby_payloads(spark, sf)))
+
+
+def ashby_payloads(spark, sf) -> DataFrame:
     b = base(spark, sf)
     item = _obj(
         isListed=~((F.col("pr") == "4-NOT SPECIFIED") & (F.col("st") == "F")),
@@ -212,7 +224,7 @@ def q_ashby(spark, sf):
         ),
     )
     bronze = bronze_rows(b.withColumn("item", item), "ashby", _json_root("jobs"), by_page=False)
-    return _out(P.CONFORMERS["ashby"](bronze))
+    return bronze
 
 
 # --- P4 + P14 + S16 smartrecruiters -------------------------------------------
@@ -229,6 +241,10 @@ _SR_HARD = S.hard_gate("title", "etype")
     country=S.country_of("cc", "city"), company="company", pay="CAST(NULL AS VARCHAR)",
 ) + " FROM bb")
 def q_smartrecruiters(spark, sf):
+    return _out(P.CONFORMERS["smartrecruiters"](smartrecruiters_payloads(spark, sf)))
+
+
+def smartrecruiters_payloads(spark, sf) -> DataFrame:
     b = base(spark, sf)
     item = _obj(
         id=F.concat(F.lit("sr"), F.col("oid")),
@@ -257,7 +273,7 @@ def q_smartrecruiters(spark, sf):
             additionalInformation=_obj(text=F.lit("")),
         )))).alias("body"),
     )
-    return _out(P.CONFORMERS["smartrecruiters"](lst.unionByName(_of_other_runs(det, '{"jobAd": {"sections": {"jobDescription": {"text": " "}}}}'))))
+    return lst.unionByName(_of_other_runs(det, '{"jobAd": {"sections": {"jobDescription": {"text": " "}}}}'))
 
 
 # --- P5 + S15 workable ----------------------------------------------------------
@@ -270,6 +286,10 @@ def q_smartrecruiters(spark, sf):
     pay="CAST(NULL AS VARCHAR)",
 ) + " FROM bb")
 def q_workable(spark, sf):
+    return _out(P.CONFORMERS["workable"](workable_payloads(spark, sf)))
+
+
+def workable_payloads(spark, sf) -> DataFrame:
     b = base(spark, sf)
     item = _obj(
         shortcode=F.concat(F.lit("W"), F.col("oid")),
@@ -281,7 +301,7 @@ def q_workable(spark, sf):
     )
     items = b.withColumn("item", item).withColumn("_last", F.max("page_no").over(Window.partitionBy("slug", "block")))
     wrap = lambda arr, g: F.to_json(F.struct(F.when(F.col("page_no") < F.col("_last"), F.concat(F.lit("tok"), F.col("page_no") + 1)).alias("nextPage"), arr.alias("results")))
-    return _out(P.CONFORMERS["workable"](bronze_rows(items, "workable", wrap, extra_page_cols=[F.max("_last").alias("_last")])))
+    return bronze_rows(items, "workable", wrap, extra_page_cols=[F.max("_last").alias("_last")])
 
 
 # --- P6 breezy ------------------------------------------------------------------
@@ -293,6 +313,10 @@ def q_workable(spark, sf):
     location="loc", country=S.country_of("cc", "loc"), company=FALLBACK, pay="CAST(NULL AS VARCHAR)",
 ) + " FROM x")
 def q_breezy(spark, sf):
+    return _out(P.CONFORMERS["breezy"](breezy_payloads(spark, sf)))
+
+
+def breezy_payloads(spark, sf) -> DataFrame:
     b = base(spark, sf)
     state = F.when(F.col("st") == "F", F.parse_json(F.lit('{"name": "Texas"}'))).otherwise(vjson(F.lit("CA")))
     country = F.when(F.col("st") == "P", F.try_variant_get(F.parse_json(F.to_json(_obj(name=F.col("cc")))), "$", "variant")).otherwise(vjson(F.col("cc")))
@@ -304,7 +328,7 @@ def q_breezy(spark, sf):
         type=_obj(name=F.col("etype")),
         location=_obj(name=F.when(F.col("st") != "O", F.col("loc_text")), city=F.col("city"), state=state, country=country),
     )
-    return _out(P.CONFORMERS["breezy"](bronze_rows(b.withColumn("item", item), "breezy", _json_array, by_page=False)))
+    return bronze_rows(b.withColumn("item", item), "breezy", _json_array, by_page=False)
 
 
 # --- P7 recruitee ---------------------------------------------------------------
@@ -320,6 +344,10 @@ def q_breezy(spark, sf):
     pay=S.format_salary("CASE WHEN st = 'P' THEN '0' ELSE '2400' END", "CASE WHEN st = 'F' THEN '2400' ELSE '3000' END", "'month'", "'EUR'"),
 ) + " FROM x")
 def q_recruitee(spark, sf):
+    return _out(P.CONFORMERS["recruitee"](recruitee_payloads(spark, sf)))
+
+
+def recruitee_payloads(spark, sf) -> DataFrame:
     b = base(spark, sf)
     item = _obj(
         careers_url=F.concat(F.lit("https://"), F.col("slug"), F.lit(".recruitee.com/o/"), F.col("oid"), F.lit("/")),
@@ -338,7 +366,7 @@ def q_recruitee(spark, sf):
         salary=_obj(min=F.when(F.col("st") == "P", F.lit("0")).otherwise(F.lit("2400")), max=F.when(F.col("st") == "F", F.lit("2400")).otherwise(F.lit("3000")),
                     period=F.lit("month"), currency=F.lit("EUR")),
     )
-    return _out(P.CONFORMERS["recruitee"](bronze_rows(b.withColumn("item", item), "recruitee", _json_root("offers"), by_page=False)))
+    return bronze_rows(b.withColumn("item", item), "recruitee", _json_root("offers"), by_page=False)
 
 
 # --- P8 rippling ------------------------------------------------------------------
@@ -350,6 +378,10 @@ def q_recruitee(spark, sf):
     location="loc", country=S.country_of(None, "loc"), company=FALLBACK, pay="CAST(NULL AS VARCHAR)",
 ) + " FROM x")
 def q_rippling(spark, sf):
+    return _out(P.CONFORMERS["rippling"](rippling_payloads(spark, sf)))
+
+
+def rippling_payloads(spark, sf) -> DataFrame:
     b = base(spark, sf)
     first = F.when(F.pmod(F.col("oid"), F.lit(2)) == 0, vjson(F.lit("Berlin, Germany"))).otherwise(F.parse_json(F.lit('{"name": "Remote - US"}')))
     item = _obj(
@@ -360,7 +392,7 @@ def q_rippling(spark, sf):
         locations=F.when(F.col("st") == "P", F.array(first)),
         department=_obj(label=F.col("region")),
     )
-    return _out(P.CONFORMERS["rippling"](bronze_rows(b.withColumn("item", item), "rippling", _json_array, by_page=False)))
+    return bronze_rows(b.withColumn("item", item), "rippling", _json_array, by_page=False)
 
 
 # --- P9 teamtailor ----------------------------------------------------------------
@@ -374,6 +406,10 @@ def q_rippling(spark, sf):
     pay="CASE WHEN st = 'F' THEN 'EUR 500/day' ELSE 'EUR 1500–1700/month' END",
 ) + " FROM x")
 def q_teamtailor(spark, sf):
+    return _out(P.CONFORMERS["teamtailor"](teamtailor_payloads(spark, sf)))
+
+
+def teamtailor_payloads(spark, sf) -> DataFrame:
     b = base(spark, sf)
     value = F.when(F.col("st") == "F", _obj(unitText=F.lit("DAY"), minValue=F.lit(None).cast("string"), maxValue=F.lit(None).cast("string"), value=F.lit("500"))).otherwise(
         _obj(unitText=F.lit("MONTH"), minValue=F.lit("1500"), maxValue=F.lit("1700"), value=F.lit(None).cast("string")))
@@ -392,7 +428,7 @@ def q_teamtailor(spark, sf):
     items = b.withColumn("item", item)
     wrap = lambda arr, g: F.to_json(F.struct(F.when(F.pmod(F.col("cust"), F.lit(2)) == 0, F.concat(F.lit("Feed "), F.col("slug"))).alias("title"), arr.alias("items")))
     g = bronze_rows(items, "teamtailor", wrap, by_page=False, extra_page_cols=[F.first("cust").alias("cust")])
-    return _out(P.CONFORMERS["teamtailor"](g))
+    return g
 
 
 # --- P10 bamboohr -------------------------------------------------------------------
@@ -404,6 +440,10 @@ def q_teamtailor(spark, sf):
     location="loc", country=S.country_of("ctry", "loc"), company=FALLBACK, pay="CAST(NULL AS VARCHAR)",
 ) + " FROM x")
 def q_bamboohr(spark, sf):
+    return _out(P.CONFORMERS["bamboohr"](bamboohr_payloads(spark, sf)))
+
+
+def bamboohr_payloads(spark, sf) -> DataFrame:
     b = base(spark, sf)
     ats_loc = F.when(F.col("st") == "F", F.parse_json(F.lit("{}"))).when(
         F.col("st") == "O", F.try_variant_get(F.parse_json(F.to_json(_obj(city=F.lit(""), country=F.col("cc")))), "$", "variant")
@@ -417,7 +457,7 @@ def q_bamboohr(spark, sf):
         location=_obj(city=F.lit("Chicago"), province=F.lit("ON"), country=F.lit("Canada")),
         isRemote=F.col("st") == "O",
     )
-    return _out(P.CONFORMERS["bamboohr"](bronze_rows(b.withColumn("item", item), "bamboohr", _json_root("result"), by_page=False)))
+    return bronze_rows(b.withColumn("item", item), "bamboohr", _json_root("result"), by_page=False)
 
 
 # --- P11 jazzhr ----------------------------------------------------------------------
@@ -431,6 +471,10 @@ def q_bamboohr(spark, sf):
     company=FALLBACK, pay="CAST(NULL AS VARCHAR)",
 ) + " FROM bb")
 def q_jazzhr(spark, sf):
+    return _out(P.CONFORMERS["jazzhr"](jazzhr_payloads(spark, sf)))
+
+
+def jazzhr_payloads(spark, sf) -> DataFrame:
     b = base(spark, sf)
     li = F.concat(
         F.lit("<li class=\"list-group-item\">\n  <h3 class='list-group-item-heading'>\n    <a href=\"https://"), F.col("slug"),
@@ -440,7 +484,7 @@ def q_jazzhr(spark, sf):
         F.lit("</li>\n"),
     )
     wrap = lambda arr, g: F.concat(F.lit("<html><body><ul>\n"), F.array_join(arr, ""), F.lit("</ul></body></html>"))
-    return _out(P.CONFORMERS["jazzhr"](bronze_rows(b.withColumn("item", li), "jazzhr", wrap, by_page=False)))
+    return bronze_rows(b.withColumn("item", li), "jazzhr", wrap, by_page=False)
 
 
 # --- P12 + S17 jobvite -------------------------------------------------------------------
@@ -453,13 +497,17 @@ def q_jazzhr(spark, sf):
     company=FALLBACK, pay="CAST(NULL AS VARCHAR)",
 ) + " FROM bb")
 def q_jobvite(spark, sf):
+    return _out(P.CONFORMERS["jobvite"](jobvite_payloads(spark, sf)))
+
+
+def jobvite_payloads(spark, sf) -> DataFrame:
     b = base(spark, sf)
     row = F.concat(
         F.lit('<tr>\n  <td class="jv-job-list-name">\n    <a href="/'), F.col("slug"), F.lit("/job/o"), F.col("oid"), F.lit('">'), F.col("title"),
         F.lit('</a>\n  </td>\n  <td class="jv-job-list-location">\n      '), F.col("city"), F.lit(",\n      "), F.col("region"), F.lit("\n  </td>\n</tr>\n"),
     )
     wrap = lambda arr, g: F.concat(F.lit("<table>"), F.array_join(arr, ""), F.lit("</table>"))
-    return _out(P.CONFORMERS["jobvite"](bronze_rows(b.withColumn("item", row), "jobvite", wrap)))
+    return bronze_rows(b.withColumn("item", row), "jobvite", wrap)
 
 
 # --- P13 + S18 + W2 + J6 workday -----------------------------------------------------------
@@ -479,6 +527,10 @@ _WD_SLUG = "slug || '.wd' || ((cust % 5) + 1) || '/Site' || (cust % 3)"
     company=S.display_name("slug"), pay="CAST(NULL AS VARCHAR)",
 ) + " FROM x")
 def q_workday(spark, sf):
+    return _out(P.CONFORMERS["workday"](workday_payloads(spark, sf)))
+
+
+def workday_payloads(spark, sf) -> DataFrame:
     b = base(spark, sf)
     wslug = F.concat(F.col("slug"), F.lit(".wd"), F.pmod(F.col("cust"), F.lit(5)) + 1, F.lit("/Site"), F.pmod(F.col("cust"), F.lit(3)))
     path = F.concat(F.lit("/job/"), F.col("city"), F.lit("/R"), F.col("oid"))
@@ -503,4 +555,27 @@ def q_workday(spark, sf):
             startDate=F.col("posted"),
         ))).alias("body"),
     )
-    return _out(P.CONFORMERS["workday"](lst.unionByName(dup).unionByName(_of_other_runs(det, '{"jobPostingInfo": {"jobDescription": ""}}', F.col("_blank")))))
+    return lst.unionByName(dup).unionByName(_of_other_runs(det, '{"jobPostingInfo": {"jobDescription": ""}}', F.col("_blank")))
+
+
+# --- P15 + U1: four feeds in one payload table, routed and conformed together ------------------
+_ROUTED = {"greenhouse": "P1_conform_greenhouse", "lever": "P2_conform_lever", "jobvite": "P12_conform_jobvite", "workday": "P13_conform_workday"}
+
+
+@register("P15_U1_conform_all", "SELECT * FROM (" + "\n) UNION ALL SELECT * FROM (".join(REGISTRY[name][1] for name in _ROUTED.values()) + ")")
+def q_conform_all(spark, sf):
+    bronze = greenhouse_payloads(spark, sf)
+    for build in (lever_payloads, jobvite_payloads, workday_payloads):
+        bronze = bronze.unionByName(build(spark, sf))
+    return _out(P.conform_all(bronze, list(_ROUTED)))
+
+
+# --- J4 + J5: postings that still need a detail ------------------------------------------------
+@register("J4_J5_detail_worklist", _SQL_BASE + f"""
+SELECT slug AS company_slug, 'sr' || oid AS item_key FROM bb WHERE len({_SR_HARD}) > 0 AND oid % 3 <> 0""")
+def q_detail_worklist(spark, sf):
+    b = base(spark, sf)
+    items = b.select(F.col("slug").alias("company_slug"), F.lit("smartrecruiters").alias("ats_source"), F.concat(F.lit("sr"), F.col("oid")).alias("item_key"),
+                     "title", F.col("etype").alias("employment_type"), "oid")
+    stored = items.where(F.pmod(F.col("oid"), F.lit(3)) == 0)
+    return P.detail_worklist(items, stored).select("company_slug", "item_key")

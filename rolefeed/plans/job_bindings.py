@@ -4,6 +4,8 @@ slug repair (Q7), report (Q8), table writes (S1, S3-S6) and the poll queue
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from ..operators import health
 from ..operators.boards import registry_table
 from ..sources import tables as T
 from . import feed_bindings as FB
-from ..session import cut_lineage
+from ..session import cut_lineage, ensure_checkpoint_dir
 from . import refresh as R
 from . import repair as RP
 from . import seed as SD
@@ -73,7 +75,7 @@ l AS (SELECT canonical_url, raw_url, title, slug AS company_slug, 'greenhouse' A
              {S.display_name('slug')} AS company,
              nullif(description, '') AS snippet, nullif(loc_text, '') AS location, nullif(country, '') AS country,
              CASE WHEN {S.is_unpaid('title', 'description')} THEN 'Unpaid' END AS pay,
-             '{FB.FETCHED_AT}.000000' AS first_seen_at, '{FB.FETCHED_AT}.000000' AS last_seen_at
+             '{FB.FETCHED_AT}.000000' AS first_seen_at, '{FB.FETCHED_AT}.000000' AS last_seen_at, block
       FROM g WHERE len(hard) > 0 AND len(bag) > 0)"""
 
 
@@ -255,7 +257,7 @@ def repair_inputs(spark, sf):
     )
     ats = F.when(F.col("c_mktsegment").isin("HOUSEHOLD", "MACHINERY", "BUILDING"), F.lit("workday")).otherwise(F.lit("greenhouse"))
     companies = c.select(slug.alias("company_slug"), ats.alias("ats_source"), F.lit(None).cast("boolean").alias("still_active"))
-    return RP.plan_repair(candidates, verification, companies)
+    return RP.plan_repair(candidates, verification, companies) | {"companies": companies}
 
 
 _SQL_REPAIR = f"""
@@ -402,3 +404,65 @@ UNION ALL SELECT 'total', NULL, CAST(count(*) AS BIGINT) FROM c
 UNION ALL SELECT 'pollable', NULL, CAST(count(*) AS BIGINT) FROM p""")
 def q_queue_profile(spark, sf):
     return health.queue_profile(queue_companies(spark, sf), registry_table(spark))
+
+
+# ---------------------------------------------------------------------------
+# A1-A3 of a refresh: jobs seen, listings, boards with a match, retired boards.
+# ---------------------------------------------------------------------------
+@register("A1_A3_refresh_summary", _SQL_REFRESH + """,
+polls AS (SELECT block, slug, status, count(*) AS seen FROM r GROUP BY ALL),
+first404 AS (SELECT slug, min(block) AS block FROM polls WHERE status = 'dead404' GROUP BY slug)
+SELECT 'r' || lpad(CAST(CAST(p.block AS BIGINT) AS VARCHAR), 8, '0') AS run_id,
+       CAST(coalesce(sum(seen) FILTER (WHERE status = 'ok'), 0) AS BIGINT) AS jobs_seen,
+       CAST(count(*) FILTER (WHERE status = 'error') AS BIGINT) AS errors, CAST(count(*) FILTER (WHERE status = 'dead404') AS BIGINT) AS dead404,
+       CAST((SELECT count(DISTINCT company_slug) FROM l WHERE l.block = p.block) AS BIGINT) AS boards_matched,
+       CAST((SELECT count(DISTINCT canonical_url) FROM l WHERE l.block = p.block) AS BIGINT) AS listings,
+       CAST((SELECT count(*) FROM first404 f WHERE f.block = p.block) AS BIGINT) AS retired
+FROM polls p GROUP BY p.block""")
+def q_refresh_summary(spark, sf):
+    return _refresh(spark, sf)["summary"].select("run_id", "jobs_seen", "errors", "dead404", "boards_matched", "listings", "retired")
+
+
+# ---------------------------------------------------------------------------
+# Boards upserts: after discover (Q4), from a capture (Q5), after repair (Q7).
+# ---------------------------------------------------------------------------
+def _known_boards(spark, sf) -> DataFrame:
+    c = table(spark, sf, "customer")
+    return c.select(F.concat(F.lit("co"), F.col("c_custkey")).alias("company_slug"), F.lit("lever").alias("ats_source"), F.col("c_nationkey").alias("fail_count"))
+
+
+@register("Q5_S4_seed_boards", _SQL_SEED + """,
+known AS (SELECT 'co' || c_custkey AS company_slug, 'lever' AS ats_source, c_nationkey AS fail_count FROM customer),
+pairs AS (SELECT DISTINCT slug AS company_slug, ats AS ats_source FROM flat WHERE slug <> '')
+SELECT company_slug, ats_source, known.fail_count FROM known FULL OUTER JOIN pairs USING (company_slug, ats_source)""")
+def q_seed_boards(spark, sf):
+    plan, _, results = seed_inputs(spark, sf)
+    return SD.seed_boards(results, plan, _known_boards(spark, sf))
+
+
+@register("Q7_S4_repair_companies", _SQL_REPAIR + """
+SELECT coalesce(c.company_slug, n.composite) AS company_slug, coalesce(c.ats_source, 'workday') AS ats_source,
+       CASE WHEN c.ats_source = 'workday' AND NOT contains(c.company_slug, '/') THEN false END AS still_active
+FROM comp c FULL OUTER JOIN new n ON c.company_slug = n.composite AND c.ats_source = 'workday'""")
+def q_repair_companies(spark, sf):
+    plan = repair_inputs(spark, sf)
+    return RP.apply_repair(plan["companies"], plan)
+
+
+# ---------------------------------------------------------------------------
+# Captures written as JSON lines, read back, flattened to CSV, read back.
+# ---------------------------------------------------------------------------
+@register("S11_S13_capture_round_trip", _SQL_SEED + "\nSELECT query, page, position, url, ats, slug, title FROM flat")
+def q_capture_round_trip(spark, sf):
+    plan, responses, results = seed_inputs(spark, sf)
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/captures-{uuid.uuid4().hex}"
+    # one capture per result here: how results are grouped into pages is the fetcher's business
+    rows = results.join(plan, "combo_idx").select(
+        "q", "domain", "ats", "field", F.col("page").cast("int").alias("page"),
+        F.struct(F.lit(1).alias("credits"), F.array(F.struct(F.col("position").cast("int").alias("position"), "link", "title")).alias("organic")).alias("response"))
+    SD.write_captures(rows, f"{base}/raw")
+    _, back = SD.read_captures(spark, f"{base}/raw", plan)
+    SD.write_flat_csv(SD.flatten(back, plan), f"{base}/flat")
+    schema = "query string, field string, page int, position bigint, url string, ats string, slug string, title string"
+    flat = spark.read.schema(schema).option("header", True).csv(f"{base}/flat")
+    return flat.select("query", "page", "position", "url", "ats", F.coalesce("slug", F.lit("")).alias("slug"), "title")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.tables import merge
 from ..functions import values as V
 from ..operators.boards import extract_board
 
@@ -53,3 +54,9 @@ def plan_repair(candidates: DataFrame, verification: DataFrame, companies: DataF
         )
     )  # A11
     return {"verified": verified, "dead": dead, "added": added, "retired": retired, "orphans": orphans, "report": report}
+
+
+def apply_repair(companies: DataFrame, plan: dict[str, DataFrame]) -> DataFrame:
+    """Q7 -> S4: the found boards added, the bare ones retired, in one upsert."""
+    rows = plan["added"].withColumn("still_active", F.lit(None).cast("boolean")).unionByName(plan["retired"])
+    return merge(companies, rows, ["company_slug", "ats_source"])
