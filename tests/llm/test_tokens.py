@@ -27,13 +27,14 @@ def test_encoder_is_the_library(texts):
     assert got == [own.library.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
-def test_encoder_remembers_two_generations(monkeypatch, library):
+def test_encoder_takes_texts_in_several_batches(monkeypatch, library):
     from rolefeed.llm import encoder as module
 
-    monkeypatch.setattr(module, "CACHE_WORDS", 5)
-    own = Encoder(queries.TOKENIZER)
-    for text in ["one two three four five six seven", "seven eight. nine, ten", "one two\nthree", "<|endoftext|> x <|endoftext|>"]:
-        assert next(own.many(pa.array([text]))).tolist() == library.encode(text, add_special_tokens=False).ids
+    texts = ["one two three", None, "seven eight. nine, ten", "<|endoftext|> x <|endoftext|>", "", "a  b", "x.\ny z.,\n"] * 5
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for name in ("BATCH_BYTES", "CALL_WORDS", "GATHER_TOKENS"):
+        monkeypatch.setattr(module, name, 3)
+        assert [x.tolist() for x in Encoder(queries.TOKENIZER).many(pa.array(texts))] == want
 
 
 def expected(rows, library):
