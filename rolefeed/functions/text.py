@@ -1,49 +1,29 @@
 """Text Column expressions: HTML to text (E1), truthiness helpers (E19),
 truncation (E20), place joining (E13) and Python-style whitespace handling.
 
-Everything here returns a ``Column`` and runs inside whole-stage codegen,
-except the one vectorised fallback for rare HTML entities (see ``unescape``).
+Everything here returns a ``Column`` of built-in functions. Expressions that
+bind a value once (``let``) or treat every character reference of a text are
+higher-order functions, which Spark evaluates outside whole-stage codegen.
 """
 from __future__ import annotations
 
-import html
+from html.entities import html5
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # Python's ``str.isspace`` set: Java's Unicode White_Space plus the four
 # information separators U+001C..U+001F.
 WS_CLASS = r"[\s\x{1c}-\x{1f}]"
 _WS_RUN = r"(?U)" + WS_CLASS + "+"
 
-# Named character references decoded without Python. Names
-# marked legacy are also recognised without the trailing semicolon.
-NATIVE_ENTITIES = {
-    "amp": "&",
-    "lt": "<",
-    "gt": ">",
-    "quot": '"',
-    "apos": "'",
-    "nbsp": " ",
-    "copy": "©",
-    "middot": "·",
-}
-LEGACY_NO_SEMICOLON = ("amp", "lt", "gt", "quot", "nbsp", "copy", "middot")
-
-_LEGACY = "|".join(LEGACY_NO_SEMICOLON)
-# One entity token as the native path understands it.
-ENTITY_TOKEN = (
-    r"&(?:(?:" + _LEGACY + r")(?:;|(?![A-Za-z0-9]))|apos;|#[0-9]{1,7};|#[xX][0-9a-fA-F]{1,6};)"
-)
-# An ampersand that starts a reference the native path does not handle.
-FOREIGN_ENTITY = r"&(?!(?:(?:" + _LEGACY + r")(?:;|(?![A-Za-z0-9]))|apos;|#[0-9]{1,7};|#[xX][0-9a-fA-F]{1,6};))[A-Za-z0-9#]"
-# Numeric references decoded natively: code points 9, 10, 12, 13, 32-126 and
-# 160-55295 (html.unescape maps the others specially).
-SAFE_DEC = r"0*(?:9|1[023]|3[2-9]|[4-9][0-9]|1[01][0-9]|12[0-6]|1[6-9][0-9]|[2-9][0-9]{2}|[1-9][0-9]{3}|[1-4][0-9]{4}|5[0-4][0-9]{3}|55[01][0-9]{2}|552[0-8][0-9]|5529[0-5])"
-SAFE_HEX = r"0*(?:[9acdACD]|[2-6][0-9a-fA-F]|7[0-9a-eA-E]|[a-fA-F][0-9a-fA-F]|[1-9a-fA-F][0-9a-fA-F]{2}|[1-9a-cA-C][0-9a-fA-F]{3}|[dD][0-7][0-9a-fA-F]{2})"
-UNSAFE_NUMERIC = r"&#(?!" + SAFE_DEC + r";)(?![xX]" + SAFE_HEX + r";)"
+# Named character references that are looked up first; all others are in the
+# HTML5 table of the standard library.
+COMMON_NAMES = ("amp;", "lt;", "gt;", "quot;", "nbsp;", "copy;", "middot;", "apos;")
+# A reference as HTML parsers see it: numeric, or up to 32 characters.
+REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+# Names that are also recognised without the semicolon, longest first.
+_OPEN_NAMES = sorted((k for k in html5 if not k.endswith(";")), key=len, reverse=True)
 
 
 def as_col(c) -> Column:
@@ -96,63 +76,64 @@ def truncate(c, n: int) -> Column:
     return F.substring(as_col(c), 1, n)
 
 
-def join_parts(*parts) -> Column:
-    """Comma-join the non-blank string parts, each kept untrimmed."""
-    return F.concat_ws(", ", *[F.when(py_strip(as_col(p)) != F.lit(""), as_col(p)) for p in parts])
-
-
-def _codepoint_to_str(n: Column) -> Column:
+def _character(n: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
 
 
-def _safe_codepoint(n: Column) -> Column:
-    # Code points html.unescape returns unchanged; others go to the fallback.
-    return n.isin(9, 10, 12, 13) | n.between(32, 126) | n.between(160, 0xD7FF)
+def _numeric(digits: Column, base: int, longest: int) -> Column:
+    """The character of a numeric reference: windows-1252 for 128-159, nothing
+    for other control characters and non-characters, U+FFFD beyond Unicode."""
+    short = F.regexp_replace(digits, "^0+", "")
 
+    def body(n):
+        windows = {i: bytes([i]).decode("cp1252", "ignore") or chr(i) for i in range(0x80, 0xA0)}
+        table = F.create_map(*[F.lit(x) for pair in windows.items() for x in pair])
+        silent = (n.between(1, 8) | (n == 11) | n.between(14, 31) | (n == 127) | n.between(0xFDD0, 0xFDEF)
+                  | F.pmod(n, F.lit(0x10000)).isin(0xFFFE, 0xFFFF))
+        return (F.when((n == 0) | n.between(0xD800, 0xDFFF) | (n > 0x10FFFF), "\ufffd").when(n.between(0x80, 0x9F), F.try_element_at(table, n.cast("int")))
+                .when(silent, "").otherwise(_character(n)))
 
-def _decode_token(t: Column) -> Column:
-    """Decode one ENTITY_TOKEN; NULL when only the fallback can decode it."""
-    name = F.regexp_replace(F.regexp_replace(t, "^&", ""), ";$", "")
-    dec = F.when(t.startswith("&#x") | t.startswith("&#X"), F.conv(F.substring(name, 3, 16), 16, 10).cast("bigint")).when(
-        t.startswith("&#"), F.substring(name, 2, 16).cast("bigint")
-    )
-    named = F.lit(None).cast("string")
-    for k, v in NATIVE_ENTITIES.items():
-        named = F.when(name == F.lit(k), F.lit(v)).otherwise(named)
-    return F.when(dec.isNotNull(), F.when(_safe_codepoint(dec), _codepoint_to_str(dec))).otherwise(named)
+    number = F.when(F.length(short) > longest, F.lit(1 << 30)).when(short == "", F.lit(0)).otherwise(F.conv(short, base, 10).cast("int"))
+    return let(number.cast("bigint"), body)
 
 
-@F.pandas_udf(StringType())
-def _unescape_udf(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else html.unescape(x))
+_NAMES = None
 
 
-def _native_unescape(c: Column) -> Column:
-    tokens = F.regexp_extract_all(c, F.lit(ENTITY_TOKEN), 0)
-    pieces = F.split(c, ENTITY_TOKEN, -1)
-    decoded = F.concat(F.transform(tokens, _decode_token), F.array(F.lit("")))
-    return F.array_join(F.zip_with(pieces, decoded, lambda a, b: F.concat(a, b)), "")
+def _named(name: Column) -> Column:
+    """The value of a name, else that of its longest prefix that needs no
+    semicolon and the rest, else the text as it stands."""
+    global _NAMES
+    if _NAMES is None:  # one string literal folded into one map constant
+        _NAMES = F.str_to_map(F.lit("\x02".join(f"{k}\x01{v}" for k, v in sorted(html5.items()))), F.lit("\x02"), F.lit("\x01"))
+    value = None
+    for k in COMMON_NAMES:
+        value = F.when(name == k, F.lit(html5[k])) if value is None else value.when(name == k, F.lit(html5[k]))
+    open_ = F.regexp_extract(name, "^(?:" + "|".join(_OPEN_NAMES) + ")", 0)
+    rest = let(open_, lambda p: F.when(p != "", F.concat(F.try_element_at(_NAMES, p), F.substring(name, F.length(p) + 1, F.length(name))))
+               .otherwise(F.concat(F.lit("&"), name)))
+    # only letters and digits, and one semicolon, make a name that is looked up
+    return value.when(name.rlike("^[A-Za-z][A-Za-z0-9]*;?$"), F.coalesce(F.try_element_at(_NAMES, name), rest)).otherwise(rest)
 
 
-def needs_fallback(c) -> Column:
-    """Rows whose references only ``html.unescape`` itself decodes."""
-    c = as_col(c)
-    return c.contains("&") & (c.rlike(FOREIGN_ENTITY) | c.rlike(UNSAFE_NUMERIC))
+def _decode_reference(t: Column) -> Column:
+    name = F.substring(t, 2, 40)
+    digits = F.regexp_replace(t, "[^0-9a-fA-F]", "")
+    return (F.when(t.rlike("^&#[0-9]"), _numeric(digits, 10, 7)).when(t.rlike("^&#[xX]"), _numeric(F.regexp_replace(digits, "^[xX]", ""), 16, 6))
+            .otherwise(_named(name)))
 
 
 def unescape(c) -> Column:
-    """``html.unescape`` as a Column.
-
-    Native path: split on entity tokens, decode each token with a literal map
-    and stitch the pieces back (one pass, so ``&amp;lt;`` stays ``&lt;``).
-    Rows holding any other reference (rare) are decoded by one vectorised
-    pandas UDF whose input is NULL for every other row, so only those rows
-    cross to Python.
-    """
+    """HTML character references decoded in one pass, so ``&amp;lt;`` becomes
+    ``&lt;``: the text is split at its references, each is decoded, and the
+    pieces are put together again. No Python."""
+    def body(c):
+        pieces = F.split(c, REFERENCE, -1)
+        decoded = F.concat(F.transform(F.regexp_extract_all(c, F.lit(REFERENCE), 0), _decode_reference), F.array(F.lit("")))
+        return F.array_join(F.zip_with(pieces, decoded, lambda a, b: F.concat(a, b)), "")
+
     c = as_col(c)
-    fb = needs_fallback(c)
-    native = F.when(~c.contains("&"), c).otherwise(let(c, _native_unescape))
-    return F.when(fb, _unescape_udf(F.when(fb, c))).otherwise(native)
+    return F.when(~c.contains("&"), c).otherwise(let(c, body))
 
 
 def strip_html(c, already_unescaped: Column | None = None) -> Column:

@@ -86,3 +86,22 @@ def test_two_gates(spark):
     assert [g["h"] for g in got] == [c[3] for c in cases]
     assert [bool(g["h"]) and bool(g["b"]) for g in got] == [c[4] for c in cases]
     assert got[0]["k"] == ["cloud", "intern"]
+
+
+def test_unescape_is_that_of_the_standard_library(spark):
+    import html
+    import random
+
+    r = random.Random(9)
+    bits = ["&", "#", "x", "X", ";", "amp", "lt", "notin", "notit", "copy", "Copy", "AMP", "CounterClockwiseContourIntegral", "acE", "38", "0", "128", "159",
+            "00000065", "D800", "110000", "99999999999999999999", "fdd0", "1F600", "11", "1", "a", " ", "é", "\t", "𝔸", "=", "NotEqualTilde;", "&&", "&#", "fffe"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(1, 12))) for _ in range(1500)]
+    texts += [f"&{k}" for k in list(html.entities.html5)[::7]] + [f"&#{n};" for n in range(0, 300)] + [f"&#x{n:x}" for n in (0xFFFE, 0x1FFFF, 0x10FFFF, 0x110000, 0xDFFF, 0xE000)]
+    got = evaluate(spark, [(t,) for t in texts], "s string", r=text.unescape(F.col("s")))
+    wrong = [(t, g["r"], html.unescape(t)) for t, g in zip(texts, got) if g["r"] != html.unescape(t)]
+    assert wrong == []
+
+
+def test_page_text_runs_no_python(spark):
+    df = spark.createDataFrame([("&amp;",)], "s string").select(text.strip_html(F.col("s")))
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()
