@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -39,7 +40,6 @@ weeks month months year years percent cent cents dollar dollars euro euros usd e
 LITERAL, CAPITAL, NUMBER, UNIT = range(4)
 MARKS = {CAPITAL: "<name>", NUMBER: "<number>", UNIT: "<unit>"}
 _END = -1  # sentence end
-_words: dict[str, int] = {}
 
 
 def _code(token: str) -> int:
@@ -55,25 +55,40 @@ def _code(token: str) -> int:
 MANY = _code("many") & ~3
 
 
-def canonical(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """The words of several texts, their hashes (plain lower case), their kinds
-    and the text each is in. A word is a name if its first letter is a capital
-    and it does not begin a sentence, a unit if it is one and follows a number
-    or "many"."""
+class _Codes(dict):
+    """Codes of the words seen, worked out when first asked for."""
+
+    def __missing__(self, token: str) -> int:
+        code = _code(token)
+        if len(token) < 40:
+            self[token] = code
+        return code
+
+
+_codes = _Codes()
+
+
+class Words(NamedTuple):
+    tokens: list[str]  # with sentence ends
+    place: np.ndarray  # of each word in ``tokens``
+    code: np.ndarray  # hash of the word in lower case
+    kind: np.ndarray
+    text_of: np.ndarray  # the text it is in
+
+
+def canonical(texts: list[str | None]) -> Words:
+    """The words of several texts. A word is a name if its first letter is a
+    capital and it does not begin a sentence, a unit if it is one and follows a
+    number or "many"."""
+    if len(_codes) > 300_000:
+        _codes.clear()
     tokens: list[str] = []
     ends = []
     for text in texts:
         tokens += TOKENS.findall(text or "")
         tokens.append(".")
         ends.append(len(tokens))
-    codes = list(map(_words.get, tokens))
-    if None in codes:
-        if len(_words) > 500_000:
-            _words.clear()
-        new = {t: _code(t) for t, c in zip(tokens, codes) if c is None}
-        _words.update((t, c) for t, c in new.items() if len(t) < 40)
-        codes = [new[t] if c is None else c for t, c in zip(tokens, codes)]
-    code = np.array(codes, dtype=np.int64)
+    code = np.fromiter(map(_codes.__getitem__, tokens), np.int64, len(tokens))
     word = code != _END
     begins = np.ones(len(code), bool)
     begins[1:] = ~word[:-1]
@@ -81,8 +96,8 @@ def canonical(texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarra
     after_number[1:] = word[:-1] & ((code[:-1] & 3 == NUMBER) | (code[:-1] & ~3 == MANY))
     kind = code & 3
     kind[(kind == CAPITAL) & begins | (kind == UNIT) & ~after_number] = LITERAL
-    text_of = np.searchsorted(np.array(ends), np.flatnonzero(word), side="right")
-    return [t for t, w in zip(tokens, word.tolist()) if w], (code & ~3)[word], kind[word], text_of
+    place = np.flatnonzero(word)
+    return Words(tokens, place, (code & ~3)[place], kind[place], np.searchsorted(np.array(ends), place, side="right"))
 
 
 def _rolling(codes: np.ndarray, n: int) -> np.ndarray:
@@ -94,9 +109,9 @@ def _rolling(codes: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
-def _windows(words: tuple, n: int, literals: int) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+def _windows(words: Words, n: int, literals: int) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
     """kind of window, hashes, which windows count, kinds of their words."""
-    _, code, kind, text_of = words
+    code, kind, text_of = words.code, words.kind, words.text_of
     if len(code) < n:
         return
     one_text = text_of[n - 1:] == text_of[:len(code) - n + 1]
@@ -108,8 +123,8 @@ def _windows(words: tuple, n: int, literals: int) -> Iterator[tuple[str, np.ndar
         yield "template", _rolling(marked, n), one_text & (slots > 0) & (n - slots >= min(literals, n)), kind
 
 
-def _row(i: int, n: int, words: list[str], kind: np.ndarray) -> tuple[str, list[str]]:
-    part, kinds = words[i:i + n], kind[i:i + n].tolist()
+def _row(i: int, n: int, words: Words, kind: np.ndarray) -> tuple[str, list[str]]:
+    part, kinds = [words.tokens[k] for k in words.place[i:i + n].tolist()], kind[i:i + n].tolist()
     return (" ".join(MARKS[k] if k else w.lower() for w, k in zip(part, kinds)),
             [MARKS[k] + w.lower() for w, k in zip(part, kinds) if k])
 
@@ -134,12 +149,12 @@ def item_windows(items: DataFrame, window: int = WINDOW, literals: int = LITERAL
             out = []
             for item, text in zip(pdf["item_id"], pdf["text"]):
                 words = canonical([text])
-                total = len(words[0])
+                total = len(words.place)
                 n = min(window, total)
                 if n < min_words:
                     continue
                 for name, h, counts, kind in _windows(words, n, literals):
-                    out += [(item, total, name, n, int(h[i].view(np.int64)), i, *_row(i, n, words[0], kind)) for i in np.flatnonzero(counts)]
+                    out += [(item, total, name, n, int(h[i].view(np.int64)), i, *_row(i, n, words, kind)) for i in np.flatnonzero(counts)]
             yield pd.DataFrame(out, columns=["item_id", "item_words", "kind", "n", "hash", "pos", "words", "slots"])
 
     rows = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text"))
@@ -184,13 +199,13 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, literals: int
         for pdf in batches:
             for part in parts_of(pdf):
                 words = canonical(part["text"].tolist())
-                docs_, text_of = part["doc_id"].tolist(), words[3]
+                docs_, text_of = part["doc_id"].tolist(), words.text_of
                 begin = np.searchsorted(text_of, np.arange(len(docs_)))
                 out = []
                 for n in sizes:
                     for name, h, counts, kind in _windows(words, n, literals):
                         hit = np.flatnonzero(counts & passes(bits, h))
-                        out += [(docs_[text_of[i]], name, n, int(h[i].view(np.int64)), i - begin[text_of[i]], *_row(i, n, words[0], kind))
+                        out += [(docs_[text_of[i]], name, n, int(h[i].view(np.int64)), i - begin[text_of[i]], *_row(i, n, words, kind))
                                 for i in hit.tolist()]
                 if out:
                     rows = pd.DataFrame(out, columns=["doc_id", "kind", "n", "hash", "pos", "words", "slots"])

@@ -38,8 +38,8 @@ def test_reparameterised_questions_need_consistent_slots(spark):
 
 
 def test_kinds_of_words():
-    words, _, kind, text_of = decontaminate.canonical(["It took Anna 3 min. In 5,5 km Bob slept", None, "min 3"])
-    marked = [(w, t) for w, k, t in zip(words, kind.tolist(), text_of.tolist()) if k]
+    words = decontaminate.canonical(["It took Anna 3 min. In 5,5 km Bob slept", None, "min 3"])
+    marked = [(words.tokens[p], t) for p, k, t in zip(words.place.tolist(), words.kind.tolist(), words.text_of.tolist()) if k]
     assert marked == [("Anna", 0), ("3", 0), ("min", 0), ("5,5", 0), ("km", 0), ("Bob", 0), ("3", 2)]
 
 
