@@ -67,9 +67,13 @@ def learn(docs: DataFrame, profile: int = PROFILE, fit_docs: int = FIT_DOCS, id_
     whole. Rows without id, text or language teach nothing."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where((fold("id") != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    share = rows.groupBy("lang").agg((F.lit(float(fit_docs)) / F.count("*")).alias("share"))
+    # one number per language: the documents are filtered where they are read
+    shares = {r["lang"]: min(1.0, fit_docs / r["count"]) for r in rows.groupBy("lang").count().collect()}
+    if not shares:
+        return {}
+    share = F.create_map(*[F.lit(x) for pair in shares.items() for x in pair])[F.col("lang")]
     place = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.join(share, "lang").where(place < F.col("share")).select("lang", "text")
+    sample = rows.where(place < share).select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
