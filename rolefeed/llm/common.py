@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rolefeed.session import ensure_checkpoint_dir
@@ -22,6 +22,12 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns through a one-row generator: a later filter stays above it,
+    so it is not copied beneath with the expressions evaluated once more."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A folder of its own for this run, in the folder all executors share."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
