@@ -22,7 +22,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: of each group of like lines one occurrence stays; ``n_chars``
     follows the text. A document whose lines all stand elsewhere has an empty
     text from here on."""
-    left = line_dedup.dedup_lines(docs)
+    left = line_dedup.dedup_lines(docs, sampled=True)
     return left.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 

@@ -87,7 +87,7 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.line_groups(table(spark, sf_dir, "documents"))
+    return line_dedup.line_groups(table(spark, sf_dir, "documents"), sampled=True)
 
 
 @query
