@@ -5,7 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from rolefeed.llm import line_dedup
-from tests.llm.test_line_dedup import edit
+from tests.llm.test_line_dedup import edit, rows  # noqa: F401
 
 HAN = [chr(c) for c in range(0x4E00, 0x4E00 + 900)]
 THAI = [chr(c) for c in range(0x0E01, 0x0E2F)]
@@ -62,6 +62,12 @@ def test_scripts_without_spaces_and_single_words(spark):
     assert found >= 0.9 * sum(x != i for i, x in enumerate(want))
 
 
+def test_linked_lines_by_edit_similarity_alone(spark, rows):  # noqa: F811
+    """The bound that stood before short words lost their vote."""
+    got = line_dedup.line_groups(spark.createDataFrame(rows, "doc_id long, text string"), sampled=True).collect()
+    assert sum((r.doc_id, r.line_no) != (r.first_doc, r.first_line) for r in got) > 60
+
+
 def test_query_and_pipeline_are_sampled(spark, tmp_path):
     import __spark_entry__
     import corpus_pipeline
