@@ -3,9 +3,10 @@
 Texts become word sequences in which numbers, names and units are typed
 placeholders. Windows of ``window`` such words of every document are
 hash-joined with those of the benchmark items, the canonical words are
-compared, and the values behind the placeholders must map one to one between
-item and document over a whole alignment: a question with other numbers or
-names is found, a chance sequence of placeholders is not. Windows of plain
+compared, and the names behind the placeholders must map one to one between
+item and document over a whole alignment: a question with other names is found,
+a chance sequence of them is not. Numbers and units may be any, as each can be
+replaced by itself. Windows of plain
 lower-case words are joined beside them, so a copy in another letter case is
 found as well.
 
@@ -73,13 +74,15 @@ class Words(NamedTuple):
     place: np.ndarray  # of each word in ``tokens``
     code: np.ndarray  # hash of the word in lower case
     kind: np.ndarray
+    named: np.ndarray  # ``kind`` with the names that begin sentences
     text_of: np.ndarray  # the text it is in
 
 
 def canonical(texts: list[str | None]) -> Words:
     """The words of several texts. A word is a name if its first letter is a
     capital and it does not begin a sentence, a unit if it is one and follows a
-    number or "many"."""
+    number or "many". In ``named`` a capital word that begins a sentence is a
+    name as well if the text has it as a name elsewhere and never in lower case."""
     if len(_codes) > 300_000:
         _codes.clear()
     tokens: list[str] = []
@@ -95,9 +98,18 @@ def canonical(texts: list[str | None]) -> Words:
     after_number = np.zeros(len(code), bool)
     after_number[1:] = word[:-1] & ((code[:-1] & 3 == NUMBER) | (code[:-1] & ~3 == MANY))
     kind = code & 3
-    kind[(kind == CAPITAL) & begins | (kind == UNIT) & ~after_number] = LITERAL
+    lower = kind == LITERAL
+    initial = (kind == CAPITAL) & begins
+    kind[initial | (kind == UNIT) & ~after_number] = LITERAL
     place = np.flatnonzero(word)
-    return Words(tokens, place, (code & ~3)[place], kind[place], np.searchsorted(np.array(ends), place, side="right"))
+    code, kind, text_of = (code & ~3)[place], kind[place], np.searchsorted(np.array(ends), place, side="right")
+    in_text = code.astype(np.uint64) ^ text_of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)  # the word in its text
+    initial = np.flatnonzero(initial[place])
+    initial = initial[np.isin(in_text[initial], in_text[kind == CAPITAL])]
+    initial = initial[~np.isin(in_text[initial], in_text[lower[place]])]
+    named = kind.copy()
+    named[initial] = CAPITAL
+    return Words(tokens, place, code, kind, named, text_of)
 
 
 def _rolling(codes: np.ndarray, n: int) -> np.ndarray:
@@ -110,17 +122,19 @@ def _rolling(codes: np.ndarray, n: int) -> np.ndarray:
 
 
 def _windows(words: Words, n: int, literals: int) -> Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
-    """kind of window, hashes, which windows count, kinds of their words."""
+    """kind of window, hashes, which windows count, kinds of their words.
+    Windows with a name that begins a sentence are given in both ways."""
     code, kind, text_of = words.code, words.kind, words.text_of
     if len(code) < n:
         return
     one_text = text_of[n - 1:] == text_of[:len(code) - n + 1]
     yield "literal", _rolling(code, n), one_text, np.zeros_like(kind)
-    if kind.any():
-        held = np.concatenate(([0], np.cumsum(kind != LITERAL)))
-        slots = held[n:] - held[:-n]
-        marked = np.where(kind == LITERAL, code, kind)  # kinds are no word's hash
-        yield "template", _rolling(marked, n), one_text & (slots > 0) & (n - slots >= min(literals, n)), kind
+    within = lambda marks: (held := np.concatenate(([0], np.cumsum(marks))))[n:] - held[:-n]
+    for kind, counts in ((words.kind, one_text), (words.named, one_text & (within(words.named != words.kind) > 0))):
+        if kind.any() and counts.any():
+            slots = within(kind != LITERAL)
+            marked = np.where(kind == LITERAL, code, kind)  # kinds are no word's hash
+            yield "template", _rolling(marked, n), counts & (slots > 0) & (n - slots >= min(literals, n)), kind
 
 
 def _row(i: int, n: int, words: Words, kind: np.ndarray) -> tuple[str, list[str]]:
@@ -231,8 +245,8 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, literals: int
     same = stored(same.select("doc_id", "item_id", "item_words", "kind", "n", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"),
                               F.arrays_zip(F.col("item_slots").alias("of_item"), F.col("slots").alias("of_doc")).alias("pairs")), "shared-windows")
     # one alignment holds at most as many windows as the item has words
-    pairs = F.array_distinct(F.flatten(F.collect_list("pairs")))
-    all_of_item = known.where("kind = 'template'").groupBy("item_id").agg(F.count("*").alias("of_item"))
+    pairs = F.filter(F.array_distinct(F.flatten(F.collect_list("pairs"))), lambda x: x["of_item"].startswith(MARKS[CAPITAL]))
+    all_of_item = known.where("kind = 'template'").groupBy("item_id").agg(F.count_distinct("pos").alias("of_item"))
     runs = (same.where("kind = 'template'").groupBy("doc_id", "item_id", "item_words", "n", "shift")
             .agg(pairs.alias("pairs"), F.collect_set("item_pos").alias("at")).join(all_of_item, "item_id"))
     one_to_one = ((F.size(F.array_distinct(F.col("pairs.of_item"))) == F.size("pairs"))
