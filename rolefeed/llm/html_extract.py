@@ -33,6 +33,7 @@ td tfoot th thead tr ul
 """.split())
 SILENT = frozenset("script style template noscript textarea select button svg math iframe object head title canvas audio video".split())
 RAW = frozenset("script style textarea title iframe noscript".split())  # their content has no tags
+IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCKS - {"body", "html"}
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -54,7 +55,8 @@ class Block:
 def blocks(html: str | None) -> list[Block]:
     """Leaf blocks in page order, character references decoded, white space
     collapsed. Comments, scripts and other silent elements are no text; tags
-    that are missing or not closed end where the next block makes them end."""
+    that are missing or not closed end where the next block makes them end, a
+    head where text or a tag begins that cannot stand in one."""
     html = html or ""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
@@ -76,6 +78,8 @@ def blocks(html: str | None) -> list[Block]:
 
     def text_at(piece: str) -> None:
         nonlocal linked
+        if stack and stack[-1][0] == "head" and piece.strip():
+            close(len(stack) - 1)
         if piece and not silent:
             held.append(piece)
             if any(t == "a" for t, _ in stack[-4:]):
@@ -100,6 +104,8 @@ def blocks(html: str | None) -> list[Block]:
             elif name in ("br", "p"):
                 text_at(" ")
             continue
+        if stack and stack[-1][0] == "head" and name not in IN_HEAD:
+            close(len(stack) - 1)
         if name in VOID:
             if name == "hr":
                 flush()

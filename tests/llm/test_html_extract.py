@@ -62,3 +62,10 @@ def test_edge_rows(spark):
     got = html_extract.extract(spark.createDataFrame(rows, schema)).collect()
     assert sorted((r.page_id or 0, len(r.text)) for r in got if r.page_id) == [(1, 0), (2, 0), (2, 0), (3, 549999)]
     assert html_extract.extract(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_head_without_end_tag():
+    rest = "<title>no</title><meta charset=utf-8><style>x{}</style><script>y()</script><template><p>no</p></template>"
+    for page in (f"<html><head>{rest}<body><p>one</p>two</body></html>", f"<head>{rest}<p>one</p>two", f"<head>{rest}<img src=x><p>one<p>two",
+                 f"<head>{rest}one<p>two", f"<html><head>{rest}</head><body><p>one</p>two</body></html>"):
+        assert [b.text for b in html_extract.blocks(page)] == ["one", "two"], page
