@@ -38,6 +38,7 @@ MARK = re.compile(r"[0-9@]")
 SPACE = re.compile(r"\s")
 NEXT = re.compile(r"[^\s]+")
 TOKEN = re.compile(r"[0-9]+|[A-Za-z]+|[^\sA-Za-z0-9]")
+LETTERS = re.compile(r"[A-Z]{1,4} (?=[^\s]*[0-9@])")  # a group of a printed IBAN, before another one
 LAST_WORDS = re.compile(r"[A-Za-z]+")
 CUE_OF = {w: k for k, words in CUES.items() for w in words}
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -80,7 +81,8 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def regions(text: str) -> Iterator[tuple[int, int]]:
-    """Maximal runs of space-separated words that hold a digit or an @ sign."""
+    """Maximal runs of space-separated words that hold a digit or an @ sign, or
+    stand between two such words and are one to four capital letters."""
     done = 0
     m = MARK.search(text)
     while m:
@@ -89,7 +91,8 @@ def regions(text: str) -> Iterator[tuple[int, int]]:
         word = NEXT.match(text, start) or m
         end = word.end()
         while end + 1 < len(text) and text[end] == " ":
-            word = NEXT.match(text, end + 1)
+            letters = LETTERS.match(text, end + 1)
+            word = NEXT.match(text, letters.end() if letters else end + 1)
             if not word or not MARK.search(word[0]):
                 break
             end = word.end()

@@ -57,7 +57,8 @@ class Maker:
         if kind == "ssn":
             return f"{d(3)}-{d(2)}-{d(4)}"
         country, body = r.choice((("DE", 18), ("FR", 23), ("ES", 20), ("GB", 18), ("NL", 14)))
-        rest = d(body)
+        bank = "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(4)) if country in ("GB", "NL") else ""
+        rest = bank + d(body - len(bank))
         text = next(f"{country}{n:02d}{rest}" for n in range(2, 99) if iban_ok(f"{country}{n:02d}{rest}"))
         return text if r.random() < 0.5 else " ".join(text[i:i + 4] for i in range(0, len(text), 4))
 

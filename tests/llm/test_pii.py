@@ -91,3 +91,13 @@ def test_edge_rows(spark):
     got = sorted((r.doc_id or 0, r.n_email, r.spans) for r in pii.find(edge_rows(spark, rows)).collect())
     assert got == [(0, 1, "email:0:7"), (1, 0, ""), (2, 0, ""), (3, 0, ""), (3, 0, ""), (3, 1, "email:100001:100008")]
     assert pii.find(edge_rows(spark, [])).collect() == []
+
+
+def test_ibans_with_letter_bank_codes():
+    model = pii.trained()
+    for iban in ("GB29 NWBK 6016 1331 9268 19", "NL91 ABNA 0417 1643 00", "GB82 WEST 1234 5698 7654 32", "GB29NWBK60161331926819"):
+        for text in (f"transfer to iban {iban}, see page", f"the account {iban} of", iban):
+            a = text.index(iban)
+            assert (a, a + len(iban), "iban") in pii.all_spans(text, model)[1], text
+    assert [x for x in pii.regions("on 12 MAY 2020 and 7 THE END, 3 A")] == [(3, 14), (19, 20), (30, 31)]
+    pii.all_spans("1 A " * 2000, model)
