@@ -18,6 +18,7 @@ from rolefeed.llm import (
     packing,
     pii,
     simhash,
+    token_alignment,
     token_files,
 )
 from rolefeed.llm.common import new_folder, table
@@ -101,3 +102,9 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_alignment.align(docs, TOKENIZER, public_tokenizers.path("piece_bpe_32k.model")).documents
