@@ -1,168 +1,23 @@
-"""HTML feeds (P11, P12), paged feeds (S15-S18), workday (P13, W2, E9, E17),
-detail enrichment (P14, J5, J6), the feed router (P15) and poll outcomes (E22).
-
-Paging: the bronze table holds the pages a fetcher stored for one
-(board, run[, term]). A capture holds only pages that were fetched, so all of
-them are conformed, whatever their number; the stop rules belong to the fetcher.
+"""What surrounds the conformers: the detail worklist (J4, J5) and poll outcomes
+(E22). A capture holds only pages that were fetched, so all of them are
+conformed, whatever their number; the stop rules belong to the fetcher.
 """
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ...functions import geo, misc
-from ...functions import values as V
+from ...functions import misc
 from ...functions.rules import hard_gate
-from ...functions.text import first_truthy, nonblank, or_empty, strip_html
-from ..dedup import first_wins, last_wins
-from . import json_feeds as JF
-from .common import CONFORMED, LINEAGE, conformed, detail_pages, fallback_company, is_array, is_object, list_pages, vget, vs
-
-
-# Patterns of the two server-rendered boards.
-JAZZ_SPLIT = "list-group-item-heading"
-JAZZ_LINK = r'<a\s+href="(https://[^"]+/apply/([A-Za-z0-9]+))[^"]*"\s*>\s*(.*?)\s*</a>'
-JAZZ_LOC = r"""fa-map-marker['"]>\s*</i>\s*([^<]+)"""
-JV_ROW = (
-    r'<td class="jv-job-list-name">\s*<a href="(/[^"/]+/job/([^"]+))"\s*>(.*?)</a>\s*</td>\s*'
-    r'<td class="jv-job-list-location">\s*(.*?)\s*</td>'
-)
-BOARD = ["company_slug", "ats_source"]
-SEQ = [*BOARD, "run_id"]
-
-
-def conform_workable(bronze: DataFrame) -> DataFrame:
-    """P5 + S15: the items of every captured page."""
-    return JF.conform_workable(bronze, list_pages(bronze, "workable"))
-
-
-def conform_smartrecruiters(bronze: DataFrame) -> DataFrame:
-    """P4 + P14 + J6 + S16: the items of every captured page, then the newest
-    detail description of the posting, from whichever run stored it. Details
-    are stored only for hard-gate passers (J5); a posting without a detail that
-    is not blank keeps the list text."""
-    items = JF.smartrecruiters_items(bronze, list_pages(bronze, "smartrecruiters"))
-    text = JF.detail_description(F.col("v"))
-    det = newest_detail(detail_pages(bronze, "smartrecruiters").withColumn("_detail", nonblank(text)), "_detail")
-    j = items.join(det, [*BOARD, "item_key"], "left")
-    j = j.withColumn("description", F.coalesce(F.col("_detail"), F.col("description")))
-    return j.select(*CONFORMED, *LINEAGE)
-
-
-def newest_detail(details: DataFrame, *payload: str) -> DataFrame:
-    """Per posting (board and item key, over all runs) the payload of the
-    newest detail page whose first payload column is not NULL."""
-    order = [F.col("fetched_at"), F.col("run_id")]
-    found = details.where(F.col(payload[0]).isNotNull()).select(*BOARD, "item_key", "fetched_at", "run_id", *payload)
-    return last_wins(found, [*BOARD, "item_key"], order).select(*BOARD, "item_key", *payload)
-
-
-def conform_jazzhr(bronze: DataFrame) -> DataFrame:
-    """Split the page on the heading class, drop the first chunk; the link
-    pattern must match; the location is looked for up to the next heading,
-    which is where the chunk ends."""
-    p = list_pages(bronze, "jazzhr")
-    chunks = F.split(F.coalesce(F.col("body"), F.lit("")), JAZZ_SPLIT, -1)
-    d = p.select("*", F.posexplode(chunks).alias("item_pos", "chunk")).where(F.col("item_pos") > 0)
-    link = "(?sU)" + JAZZ_LINK
-    d = d.where(F.col("chunk").rlike(link))
-    locre = "(?sU)" + JAZZ_LOC
-    loc = F.when(F.col("chunk").rlike(locre), strip_html(F.regexp_extract("chunk", locre, 1))).otherwise(F.lit(""))
-    return conformed(
-        d,
-        canonical_url=F.concat(F.lit("https://"), F.col("company_slug"), F.lit(".applytojob.com/apply/"), F.regexp_extract("chunk", link, 2)),
-        raw_url=F.regexp_extract("chunk", link, 1),
-        title=strip_html(F.regexp_extract("chunk", link, 3)),
-        description=F.lit(""),
-        posted_at=F.lit(None),
-        employment_type=F.lit(""),
-        location=loc,
-        country=geo.country_of(None, loc),
-        company=fallback_company(F.col("company_slug")),
-        pay=F.lit(None),
-    )
+from .feeds import BOARD, FEEDS, SEQ, conform, conform_all, term_rank
 
+CONFORMERS: dict[str, Callable[..., DataFrame]] = {ats: partial(conform, ats) for ats in FEEDS}
+conform_workday = CONFORMERS["workday"]
 
-def conform_jobvite(bronze: DataFrame) -> DataFrame:
-    """P12 + S17: the rows of every captured page; four groups per row."""
-    p = list_pages(bronze, "jobvite")
-    body = F.coalesce(F.col("body"), F.lit(""))
-    pat = "(?sU)" + JV_ROW
-    p = p.withColumn("_rows", F.arrays_zip(*[F.regexp_extract_all(body, F.lit(pat), g).alias(f"g{g}") for g in (1, 2, 3, 4)]))
-    d = p.select("*", F.posexplode("_rows").alias("item_pos", "r"))
-    loc = strip_html(F.col("r.g4"))
-    return conformed(
-        d,
-        canonical_url=F.concat(F.lit("https://jobs.jobvite.com/"), F.col("company_slug"), F.lit("/job/"), F.col("r.g2")),
-        raw_url=F.concat(F.lit("https://jobs.jobvite.com"), F.col("r.g1")),
-        title=strip_html(F.col("r.g3")),
-        description=F.lit(""),
-        posted_at=F.lit(None),
-        employment_type=F.lit(""),
-        location=loc,
-        country=geo.country_of(None, loc),
-        company=fallback_company(F.col("company_slug")),
-        pay=F.lit(None),
-    )
-
-
-def term_rank() -> Column:
-    """Request order of a search term: the fixed list, then any other term."""
-    ranks = F.create_map(*[x for i, t in enumerate(V.WORKDAY_TERMS) for x in (F.lit(t), F.lit(i))])
-    return F.coalesce(F.try_element_at(ranks, F.col("term")), F.lit(len(V.WORKDAY_TERMS)))
-
-
-def workday_postings(bronze: DataFrame) -> DataFrame:
-    """S18 + W2: the first posting per ``externalPath`` across terms (in
-    request order), pages and positions of all captured pages. The four fields
-    that are used are projected before the pick, so no payload is shuffled."""
-    p = list_pages(bronze, "workday").withColumn("_term_no", term_rank())
-    arr = F.when(is_array(vget(F.col("v"), "$.jobPostings")), F.try_variant_get(F.col("v"), "$.jobPostings", "array<variant>"))
-    d = p.select(*SEQ, "fetched_at", "page_no", "_term_no", F.posexplode(arr).alias("item_pos", "j"))
-    d = d.select(*SEQ, "fetched_at", "page_no", "_term_no", "item_pos", vs(F.col("j"), "$.externalPath").alias("item_key"),
-                 vs(F.col("j"), "$.title").alias("_title"), vs(F.col("j"), "$.locationsText").alias("_place"), vs(F.col("j"), "$.postedOn").alias("_posted"))
-    return first_wins(d.where(nonblank(F.col("item_key")).isNotNull()), [*SEQ, "item_key"], ["_term_no", "page_no", "item_pos"])
-
-
-def conform_workday(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """P13 + J6: composite slug ``tenant.wdN/Site``; the newest stored CXS
-    detail (``jobPostingInfo``, of whichever run) wins for description,
-    location, country and date; otherwise list fields and the relative post
-    date (E9, relative to the fetch day unless ``as_of`` is given). Of several
-    details the newest with a description counts, else the newest. Bare slugs
-    (no site) are a poll error and conform to nothing."""
-    posts = workday_postings(bronze).where(F.col("company_slug").contains("/"))
-    v = F.col("v")
-    cv = vget(v, "$.jobPostingInfo.country")
-    country = F.when(is_object(cv), vs(cv, "$.descriptor")).when(F.schema_of_variant(cv) == "STRING", vs(cv, "$"))
-    fields = F.struct(
-        nonblank(vs(v, "$.jobPostingInfo.jobDescription")).isNotNull().alias("told"), "fetched_at", "run_id",
-        vs(v, "$.jobPostingInfo.jobDescription").alias("text"), vs(v, "$.jobPostingInfo.location").alias("place"),
-        country.alias("country"), vs(v, "$.jobPostingInfo.startDate").alias("day"))
-    det = detail_pages(bronze, "workday").where(is_object(vget(v, "$.jobPostingInfo")))
-    det = det.groupBy(*BOARD, "item_key").agg(F.max(fields).alias("info"))
-    d = posts.join(det, [*BOARD, "item_key"], "left")
-    hostpart = F.split(F.col("company_slug"), "/", 2).getItem(0)
-    site = F.split(F.col("company_slug"), "/", 2).getItem(1)
-    url = F.concat(F.lit("https://"), hostpart, F.lit(".myworkdayjobs.com/en-US/"), site, F.col("item_key"))
-    loc = or_empty(first_truthy(F.col("info.place"), F.col("_place")))
-    desc = F.col("info.text")
-    day = as_of if as_of is not None else F.to_date(F.col("fetched_at"))
-    return conformed(
-        d,
-        canonical_url=url,
-        raw_url=url,
-        title=or_empty(F.col("_title")),
-        description=F.when(nonblank(desc).isNotNull(), strip_html(desc)).otherwise(F.lit("")),
-        posted_at=F.coalesce(nonblank(F.col("info.day")), misc.relative_posted(F.col("_posted"), day)),
-        employment_type=F.lit(""),
-        location=loc,
-        country=geo.country_of(F.col("info.country"), loc),
-        company=misc.display_name(F.split(hostpart, r"\.", 2).getItem(0)),
-        pay=F.lit(None),
-    )
+__all__ = ["BOARD", "CONFORMERS", "SEQ", "conform_all", "conform_workday", "detail_worklist", "poll_outcomes"]
 
 
 def detail_worklist(items: DataFrame, details: DataFrame | None = None) -> DataFrame:
@@ -174,36 +29,6 @@ def detail_worklist(items: DataFrame, details: DataFrame | None = None) -> DataF
     return w if details is None else w.join(details.select(*BOARD, "item_key"), [*BOARD, "item_key"], "left_anti")
 
 
-CONFORMERS: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "greenhouse": JF.conform_greenhouse,
-    "lever": JF.conform_lever,
-    "ashby": JF.conform_ashby,
-    "smartrecruiters": conform_smartrecruiters,
-    "workable": conform_workable,
-    "breezy": JF.conform_breezy,
-    "recruitee": JF.conform_recruitee,
-    "rippling": JF.conform_rippling,
-    "teamtailor": JF.conform_teamtailor,
-    "bamboohr": JF.conform_bamboohr,
-    "jazzhr": conform_jazzhr,
-    "jobvite": conform_jobvite,
-    "workday": conform_workday,
-}
-
-
-def conform_all(bronze: DataFrame, feeds=None) -> DataFrame:
-    """P15 + U1: every feed's conformer over its slice of bronze, unioned.
-    Each slice is a filter on ``ats_source`` (partition pruning when bronze is
-    partitioned by it)."""
-    out = None
-    for ats, fn in CONFORMERS.items():
-        if feeds is not None and ats not in feeds:
-            continue
-        d = fn(bronze)
-        out = d if out is None else out.unionByName(d)
-    return out
-
-
 def poll_outcomes(bronze: DataFrame) -> DataFrame:
     """E22 per (board, run): the first failing list request (by the terms'
     request order and page) decides the status; a list payload that is not valid JSON (JSON feeds) is

@@ -8,11 +8,15 @@ conformed columns directly from orders and customer, without JSON.
 """
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import values as V
 from ..operators.conform import paged as P
+from ..operators.conform.common import BRONZE_SCHEMA
+from ..session import ensure_checkpoint_dir
 from . import sqlfrag as S
 from .catalog import PRIORITY_TITLE, SAMPLE_COUNTRIES, SAMPLE_LOCATIONS, STATUS_DESC, _case, _sql_case, _sql_list, REGISTRY, register, table
 
@@ -558,16 +562,29 @@ def workday_payloads(spark, sf) -> DataFrame:
     return lst.unionByName(dup).unionByName(_of_other_runs(det, '{"jobPostingInfo": {"jobDescription": ""}}', F.col("_blank")))
 
 
-# --- P15 + U1: four feeds in one payload table, routed and conformed together ------------------
-_ROUTED = {"greenhouse": "P1_conform_greenhouse", "lever": "P2_conform_lever", "jobvite": "P12_conform_jobvite", "workday": "P13_conform_workday"}
+# --- P15 + U1: all feeds in one payload table, conformed in one pass ---------------------------
+_ROUTED = {
+    "greenhouse": ("P1_conform_greenhouse", greenhouse_payloads), "lever": ("P2_conform_lever", lever_payloads),
+    "ashby": ("P3_conform_ashby", ashby_payloads), "smartrecruiters": ("P4_P14_conform_smartrecruiters", smartrecruiters_payloads),
+    "workable": ("P5_conform_workable", workable_payloads), "breezy": ("P6_conform_breezy", breezy_payloads),
+    "recruitee": ("P7_conform_recruitee", recruitee_payloads), "rippling": ("P8_conform_rippling", rippling_payloads),
+    "teamtailor": ("P9_conform_teamtailor", teamtailor_payloads), "bamboohr": ("P10_conform_bamboohr", bamboohr_payloads),
+    "jazzhr": ("P11_conform_jazzhr", jazzhr_payloads), "jobvite": ("P12_conform_jobvite", jobvite_payloads),
+    "workday": ("P13_conform_workday", workday_payloads),
+}
+
+
+def bronze_table(spark, sf) -> DataFrame:
+    """The payloads of all feeds as one table in the shared folder, partitioned by feed."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/bronze-{uuid.uuid4().hex}"
+    for _, build in _ROUTED.values():
+        build(spark, sf).write.mode("append").partitionBy("ats_source").parquet(path)
+    return spark.read.schema(BRONZE_SCHEMA).parquet(path)
 
 
-@register("P15_U1_conform_all", "SELECT * FROM (" + "\n) UNION ALL SELECT * FROM (".join(REGISTRY[name][1] for name in _ROUTED.values()) + ")")
+@register("P15_U1_conform_all", "SELECT * FROM (" + "\n) UNION ALL SELECT * FROM (".join(REGISTRY[name][1] for name, _ in _ROUTED.values()) + ")")
 def q_conform_all(spark, sf):
-    bronze = greenhouse_payloads(spark, sf)
-    for build in (lever_payloads, jobvite_payloads, workday_payloads):
-        bronze = bronze.unionByName(build(spark, sf))
-    return _out(P.conform_all(bronze, list(_ROUTED)))
+    return _out(P.conform_all(bronze_table(spark, sf)))
 
 
 # --- J4 + J5: postings that still need a detail ------------------------------------------------
