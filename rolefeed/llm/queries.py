@@ -121,10 +121,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op12_hard_negatives"] = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-         list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q
+         [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS q
   FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
   FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),

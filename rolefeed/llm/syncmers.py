@@ -14,6 +14,8 @@ in pieces that overlap, and no array of characters is longer than PIECE.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,16 +31,12 @@ LOW = (1 << 32) - 1
 
 
 def _least_of(h: Column, width: int) -> Column:
-    """Least of ``width`` values from each place on (fewer at the end), by doubling."""
-    def further(step: int):
-        return lambda m: F.zip_with(m, F.slice(m, step + 1, F.size(m)), lambda x, y: F.least(x, y))
-
-    least, have = h, 1
-    while have < width:
-        step = min(have, width - have)
-        least = let(least, further(step))
-        have += step
-    return least
+    """Least of ``width`` values from each place on (fewer at the end), by
+    leasts of a few values and leasts of a few of these."""
+    few = math.isqrt(width - 1) + 1
+    far = [*range(0, width - few, few), width - few]
+    part = F.transform(h, lambda x, i: F.least(x, *[F.get(h, i + k) for k in range(1, few)]))
+    return let(part, lambda m: F.transform(m, lambda x, i: F.least(x, *[F.get(m, i + k) for k in far[1:]])))
 
 
 def _hash(*values: Column) -> Column:

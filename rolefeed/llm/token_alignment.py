@@ -25,9 +25,8 @@ import hashlib
 import json
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -38,14 +37,16 @@ from pyspark.sql import functions as F
 
 from rolefeed.llm.common import stored
 
-BUCKET_BYTES = 8 << 20  # text of a bucket
+BUCKET_BYTES = 4 << 20  # text of a bucket
+CALL_UNITS = 10_000  # units encoded in one call
+STEP = 1 << 20  # tokens or links worked on at a time
 READ_ROWS = 128  # texts taken out of an Arrow batch at a time
 CUT = re.compile(r" (?<=\S )(?=\S)")  # a single space between characters that are no white space
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 
 
 class Aligner:
-    """Token ids of both tokenizers and their groups, for one unit at a time."""
+    """Token ids of both tokenizers and their groups, many units at a time."""
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -60,11 +61,14 @@ class Aligner:
         pre = config.get("pre_tokenizer") or {}
         byte_of = _byte_level()
         special = {t["id"] for t in config.get("added_tokens", [])}
-        self.a_bytes = {i: t.encode() if i in special else bytes(map(byte_of.__getitem__, t))
-                        for t, i in self.a.get_vocab(with_added_tokens=True).items()}
+        vocab = self.a.get_vocab(with_added_tokens=True)
+        self.a_bytes = [b""] * (max(vocab.values()) + 1)
+        for t, i in vocab.items():
+            self.a_bytes[i] = t.encode() if i in special else bytes(map(byte_of.__getitem__, t))
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
+        self.a_sizes, self.b_sizes = (np.array([len(x) for x in y], np.int64) for y in (self.a_bytes, self.b_bytes))
         self.by_unit = (config.get("normalizer") is None and pre.get("type") == "ByteLevel"
                         and not pre.get("add_prefix_space") and pre.get("use_regex", True)
                         and not any("▁" in p.lstrip("▁") for p in pieces))
@@ -72,26 +76,80 @@ class Aligner:
     def units(self, text: str) -> list[str]:
         return CUT.split(text) if self.by_unit else [text]
 
-    def aligned(self, units: list[str]) -> Iterator[Unit | None]:
-        """Each unit with a space before it; None where a tokenizer's bytes are not the unit's."""
-        spaced = [" " + u for u in units]
-        for text, a, b in zip(spaced, self.a.encode_batch_fast(spaced, add_special_tokens=False),
-                              self.b.encode(units, num_threads=1)):
-            a, data = a.ids, text.encode()
-            a_parts, b_parts = [self.a_bytes[x] for x in a], [self.b_bytes[x] for x in b]
-            if b"".join(a_parts) != data or b"".join(b_parts) != data:
-                yield None
+    def _a_tokens(self, units: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units, one after the other, and how many each has. Units
+        with no white space at their ends go through the library as one text,
+        which comes apart at their last bytes."""
+        plain = np.array([self.by_unit and u == u.strip() != "" for u in units], bool)
+        counts, parts = np.zeros(len(units), np.int64), []
+        for at in range(0, len(units), CALL_UNITS):  # the library takes many times the size of a text
+            part = slice(at, at + CALL_UNITS)
+            n = _Joined(self, [u for u, p in zip(units[part], plain[part].tolist()) if p], sizes[part][plain[part]])
+            if n.counts is None:
+                plain[part] = False
             else:
-                yield _groups(a, [len(x) for x in a_parts], b, [len(x) for x in b_parts])
-
-
-class Unit(NamedTuple):
-    n_a: int
-    n_b: int
-    n_groups: int
-    n_links: int
-    groups: str  # a1,a2|b1;a3|b2,b3
-    pairs: dict[int, int]  # a << 32 | b: how often it is linked
+                counts[part][plain[part]] = n.counts
+            single = [" " + u for u, p in zip(units[part], plain[part].tolist()) if not p]
+            lists = [e.ids for e in self.a.encode_batch_fast(single, add_special_tokens=False)] if single else []
+            counts[part][~plain[part]] = [len(x) for x in lists]
+            ids, of = np.empty(counts[part].sum(), np.int64), np.repeat(plain[part], counts[part])
+            ids[of] = n.ids[:of.sum()]
+            ids[~of] = np.fromiter(chain.from_iterable(lists), np.int64)
+            parts.append(ids)
+        return np.concatenate(parts) if parts else np.zeros(0, np.int64), counts
+
+    def aligned(self, units: list[str]) -> Units:
+        """Each unit with a space before it. All units are aligned as one text:
+        tokens of both end where a unit does."""
+        data = [(" " + u).encode() for u in units]
+        sizes = np.array([len(d) for d in data], dtype=np.int64)
+        a, a_counts = self._a_tokens(units, sizes)
+        b_counts, parts = np.zeros(len(units), np.int64), [np.zeros(0, np.int64)]
+        for at in range(0, len(units), CALL_UNITS):
+            lists = self.b.encode(units[at:at + CALL_UNITS], num_threads=1)
+            b_counts[at:at + CALL_UNITS] = [len(x) for x in lists]
+            parts.append(np.fromiter(chain.from_iterable(lists), np.int64))
+        b = np.concatenate(parts)
+        fine = (_same_bytes(data, sizes, a, a_counts, self.a_bytes, self.a_sizes)
+                & _same_bytes(data, sizes, b, b_counts, self.b_bytes, self.b_sizes))
+        a, b = a[np.repeat(fine, a_counts)], b[np.repeat(fine, b_counts)]
+        a_end, b_end = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        cuts = np.intersect1d(a_end, b_end, assume_unique=True)
+        groups = _Groups(a, np.searchsorted(cuts, a_end), b, np.searchsorted(cuts, b_end), len(cuts))
+
+        of_unit = np.zeros(len(units) + 1, np.int64)  # groups before each unit
+        of_unit[1:] = np.searchsorted(cuts, np.cumsum(np.where(fine, sizes, 0)), side="right")
+        sums = lambda x: (lambda c: c[of_unit[1:]] - c[of_unit[:-1]])(np.concatenate(([0], np.cumsum(x))))
+        counts = np.stack([np.where(fine, a_counts, 0), np.where(fine, b_counts, 0), np.diff(of_unit), sums(groups.n_a * groups.n_b)], axis=1)
+        blob, ends = groups.shown()
+        ends = np.concatenate(([0], ends))[of_unit].tolist()
+        shown = [blob[lo:hi - 1] if lo < hi else b"" for lo, hi in zip(ends, ends[1:])]
+        pairs, times, per_group = groups.links()
+        return Units(fine, counts, shown, pairs, times, sums(per_group))
+
+
+class _Joined:
+    """Units encoded as one text: ids, and how many each unit has (None if the
+    text does not come apart at the units' last bytes)."""
+
+    def __init__(self, own: Aligner, units: list[str], sizes: np.ndarray):
+        self.ids, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if not units:
+            return
+        self.ids = np.array(own.a.encode_batch_fast([" " + " ".join(units)], add_special_tokens=False)[0].ids, dtype=np.int64)
+        ends, wanted = np.cumsum(own.a_sizes[self.ids]), np.cumsum(sizes)
+        at = np.searchsorted(ends, wanted)
+        fits = len(ends) and at[-1] == len(ends) - 1 and np.array_equal(ends[at], wanted)
+        self.counts = np.diff(at, prepend=-1) if fits else None
+
+
+class Units(NamedTuple):
+    fine: np.ndarray  # both tokenizers give the unit's bytes
+    counts: np.ndarray  # MEASURES of each
+    shown: list[bytes]  # a1,a2|b1;a3|b2,b3
+    pairs: np.ndarray  # a << 32 | b, unit after unit
+    times: np.ndarray
+    n_pairs: np.ndarray  # entries of ``pairs`` of each unit
 
 
 def _byte_level() -> dict[str, int]:
@@ -102,26 +160,71 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
-def _groups(a: list[int], a_sizes: list[int], b: list[int], b_sizes: list[int]) -> Unit:
-    b_end = {end: j for j, end in enumerate(accumulate(b_sizes), 1)}
-    pairs: Counter[int] = Counter()
-    shown, n_links, i0, j0 = [], 0, 0, 0
-    for i, end in enumerate(accumulate(a_sizes), 1):
-        j = b_end.get(end)
-        if j is None:
-            continue
-        left, right = a[i0:i], b[j0:j]
-        shown.append(f"{','.join(map(str, left))}|{','.join(map(str, right))}")
-        n_links += len(left) * len(right)
-        if len(left) == len(right) == 1:
-            pairs[left[0] << 32 | right[0]] += 1
-        else:
-            right_counts = Counter(right).items()
-            for x, m in Counter(left).items():
-                for y, n in right_counts:
-                    pairs[x << 32 | y] += m * n
-        i0, j0 = i, j
-    return Unit(len(a), len(b), len(shown), n_links, ";".join(shown), pairs)
+def _same_bytes(data: list[bytes], sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray, of: list[bytes], lengths: np.ndarray) -> np.ndarray:
+    """Whether the tokens of each unit, put together, are its bytes."""
+    whole = b"".join(map(of.__getitem__, ids.tolist()))
+    ends = np.concatenate(([0], np.cumsum(lengths[ids])))[np.concatenate(([0], np.cumsum(counts)))]
+    if np.array_equal(np.diff(ends), sizes) and whole == b"".join(data):
+        return np.ones(len(data), bool)
+    at = ends.tolist()
+    return np.array([whole[lo:hi] == d for lo, hi, d in zip(at, at[1:], data)], bool)
+
+
+class _Groups:
+    """Tokens of both kinds and the number of the group of each, ascending."""
+
+    def __init__(self, a: np.ndarray, a_group: np.ndarray, b: np.ndarray, b_group: np.ndarray, n: int):
+        self.a, self.b, self.a_group, self.b_group = a, b, a_group, b_group
+        self.n_a, self.n_b = np.bincount(a_group, minlength=n), np.bincount(b_group, minlength=n)
+        self.a_start, self.b_start = np.cumsum(self.n_a) - self.n_a, np.cumsum(self.n_b) - self.n_b
+
+    def shown(self) -> tuple[bytes, np.ndarray]:
+        """Decimal ids, A before B, with a separator after each; and where each group ends."""
+        ids, after = np.empty(len(self.a) + len(self.b), np.int64), np.full(len(self.a) + len(self.b), ord(","), np.uint8)
+        ids[np.arange(len(self.a)) + self.b_start[self.a_group]] = self.a
+        ids[np.arange(len(self.b)) + (self.a_start + self.n_a)[self.b_group]] = self.b
+        ends = np.cumsum(self.n_a + self.n_b)
+        after[ends - 1] = ord(";")
+        after[ends - self.n_b - 1] = ord("|")
+        parts, lengths = [], np.zeros(len(ids) + 1, np.int64)
+        for at in range(0, len(ids), STEP):
+            part = ids[at:at + STEP]
+            n = np.ones(len(part), np.int64)
+            for power in range(1, 8):
+                n += part >= 10 ** power
+            digits = np.zeros((len(part), 9), np.uint8)
+            rest = part.copy()
+            for column in range(7, -1, -1):
+                digits[:, column] = rest % 10 + ord("0")
+                rest //= 10
+            digits[:, 8] = after[at:at + STEP]
+            parts.append(digits[np.arange(9) >= (8 - n)[:, None]].tobytes())
+            lengths[at + 1:at + 1 + len(part)] = n + 1
+        return b"".join(parts), np.cumsum(lengths)[ends]
+
+    def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs of ids, how often each stands for, and entries of each group:
+        every link by itself, but the different ids of a very large group once."""
+        many = self.n_a * self.n_b
+        entries, parts = many.copy(), []
+        ends = np.cumsum(many)
+        at = 0
+        while at < len(many):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + STEP, side="right")))
+            if many[at] > STEP:
+                left, m = np.unique(self.a[self.a_start[at]:self.a_start[at] + self.n_a[at]], return_counts=True)
+                right, n = np.unique(self.b[self.b_start[at]:self.b_start[at] + self.n_b[at]], return_counts=True)
+                parts.append(((left[:, None] << 32 | right).ravel(), np.outer(m, n).ravel()))
+                entries[at] = len(left) * len(right)
+            else:
+                size, width = many[at:to], self.n_b[at:to]
+                i = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+                left = self.a[np.repeat(self.a_start[at:to], size) + i // np.repeat(width, size)]
+                right = self.b[np.repeat(self.b_start[at:to], size) + i % np.repeat(width, size)]
+                parts.append((left << 32 | right, np.ones(len(i), np.int64)))
+            at = to
+        pairs, times = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 2
+        return pairs, times, entries
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
@@ -154,33 +257,28 @@ class _Bucket:
         self.size += len(text)
 
     def row(self, own: Aligner) -> pa.RecordBatch:
-        units = list(own.aligned(list(self.unit_ids)))
-        fine = np.array([u is not None for u in units], bool)
-        counts = np.array([u[:4] if u else (0, 0, 0, 0) for u in units], dtype=np.int64)
-        shown = [u.groups if u else "" for u in units]
-        codes, inverse = np.unique(np.array([c for u in units if u for c in u.pairs], dtype=np.int64), return_inverse=True)
-        times = np.array([n for u in units if u for n in u.pairs.values()], dtype=np.int64)
-        sizes = np.array([len(u.pairs) if u else 0 for u in units], dtype=np.int64)
-        starts = np.cumsum(sizes) - sizes
+        units = own.aligned(list(self.unit_ids))
+        codes, inverse = np.unique(units.pairs, return_inverse=True)
+        starts = np.cumsum(units.n_pairs) - units.n_pairs
 
         weights = np.zeros(len(codes), np.int64)
         measures, digests, held, place, often = [], [], [], [], []
         for _, copies, ids in self.texts:
-            if not fine[ids].all():
+            if not units.fine[ids].all():
                 measures.append(np.zeros(4, np.int64))
                 digests.append("")
                 held.append(0)
                 continue
-            measures.append(counts[ids].sum(axis=0))
-            digests.append(hashlib.sha256(";".join([shown[i] for i in ids.tolist()]).encode()).hexdigest())
+            measures.append(units.counts[ids].sum(axis=0))
+            digests.append(hashlib.sha256(b";".join([units.shown[i] for i in ids.tolist()])).hexdigest())
             kinds, n = np.unique(ids, return_counts=True)
-            size = sizes[kinds]
+            size = units.n_pairs[kinds]
             at = np.arange(size.sum()) + np.repeat(starts[kinds] - np.cumsum(size) + size, size)
             local, back = np.unique(inverse[at], return_inverse=True)
             weights[local] += copies
             held.append(len(local))
             place.append(local.astype("<u4"))
-            often.append(np.bincount(back, times[at] * np.repeat(n, size), len(local)).astype("<u4"))
+            often.append(np.bincount(back, units.times[at] * np.repeat(n, size), len(local)).astype("<u4"))
         table = np.array(measures, dtype=np.int64).reshape(-1, 4)
         joined = lambda parts: np.concatenate(parts).tobytes() if parts else b""
         columns = {
@@ -207,6 +305,7 @@ def aligned_buckets(texts: DataFrame, a_path: str, b_path: str, bucket_bytes: in
                     bucket.add(key, copies, text, own)
                     if bucket.size >= bucket_bytes:
                         yield bucket.row(own)
+                        pa.default_memory_pool().release_unused()
                         number += 1
                         bucket = _Bucket(number)
         if bucket.texts:

@@ -115,10 +115,26 @@ def test_pair_counts_weigh_copies_and_buckets_add_up(spark, monkeypatch, plain):
 @settings(max_examples=300, deadline=None)
 def test_units_are_the_whole_text(plain, text):
     own = ta._aligner(A, B)
-    units = list(own.aligned(own.units(text))) if text else [None]
     want = plain.groups(text)
+    units = own.aligned(own.units(text) + ["more"]) if text else None
     if want is None:
-        assert None in units
+        assert not text or not units.fine.all()
     else:
         shown = ";".join(",".join(map(str, left)) + "|" + ",".join(map(str, right)) for left, right in want)
-        assert ";".join(u.groups for u in units) == shown and sum(u.n_links for u in units) == sum(len(x) * len(y) for x, y in want)
+        assert units.fine.all() and b";".join(units.shown[:-1]).decode() == shown
+        assert units.counts[:-1, 3].sum() == sum(len(x) * len(y) for x, y in want)
+
+
+@pytest.mark.parametrize("step", [1, 3, 50])
+def test_large_groups_and_steps(monkeypatch, plain, step):
+    monkeypatch.setattr(ta, "STEP", step)
+    own = ta._aligner(A, B)
+    texts = ["ไทย ภาษา 你好世界 naïve", "antidisestablishmentarianism 1234567 wörds"]
+    for text in texts:
+        want, got = plain.groups(text), own.aligned(own.units(text))
+        links = Counter((x << 32) | y for left, right in want for x in left for y in right)
+        held = Counter()
+        for p, n in zip(got.pairs.tolist(), got.times.tolist()):
+            held[p] += n
+        assert held == links and b";".join(got.shown).decode() == ";".join(
+            ",".join(map(str, left)) + "|" + ",".join(map(str, right)) for left, right in want)
