@@ -313,8 +313,11 @@ def _plain_items(bronze: DataFrame, f: _Feeds) -> DataFrame:
     return rows.select(*LINEAGE, *fields, F.lit(None).cast(f"struct<{DETAIL}>").alias("info"))
 
 
-def _detailed_items(bronze: DataFrame, f: _Feeds) -> DataFrame:
-    """Lists and details of one scan; a detail payload is its own only item."""
+def detailed_rows(bronze: DataFrame, feeds: Iterable[str] = DETAILED) -> DataFrame:
+    """Raw fields of the postings and details of feeds that store details, from
+    one scan: ``detail`` tells them apart, ``key`` names the posting, ``info``
+    is what a detail says. A detail payload is its own only item."""
+    f = _Feeds(x for x in DETAILED if x in set(feeds))
     lists_or_details = F.coalesce("page_kind", F.lit("list")).isin("list", "detail")
     own = F.array(F.struct(F.col("v").alias("j"), F.lit(None).cast("array<string>").alias("g")))
     rows = _rows(_fetched(bronze, f).where(lists_or_details), F.when(_is_detail(), own).otherwise(_items(f)))
@@ -322,13 +325,21 @@ def _detailed_items(bronze: DataFrame, f: _Feeds) -> DataFrame:
     fields["key"] = F.when(_is_detail(), F.col("item_key")).otherwise(fields["key"])
     fields["info"] = F.when(_is_detail(), _detail(f))
     rows = rows.select(*LINEAGE, _is_detail().alias("detail"), term_rank().alias("term_no"), "j", *[c.alias(n) for n, c in fields.items()])
-    rows = rows.where(F.when(F.col("detail"), F.col("key").isNotNull()).otherwise(_kept(f))).drop("j")
-    posting = [*BOARD, "key"]
-    rows = rows.withColumn("info", F.max("info").over(Window.partitionBy(*posting))).where(~F.col("detail"))
-    if f.has("workday"):  # W2: the first of a run across terms, pages and positions
-        first = F.row_number().over(Window.partitionBy(*posting, "run_id").orderBy("term_no", "page_no", "item_pos"))
-        rows = rows.withColumn("_nth", first).where((F.col("_nth") == 1) | ~f.is_("workday"))
-    return rows.select(*LINEAGE, *fields)
+    return rows.where(F.when(F.col("detail"), F.col("key").isNotNull()).otherwise(_kept(f))).drop("j")
+
+
+def first_of_run(rows: DataFrame) -> DataFrame:
+    """Of a workday posting, the first of a run across terms, pages and positions."""
+    first = F.row_number().over(Window.partitionBy(*BOARD, "key", "run_id").orderBy("term_no", "page_no", "item_pos"))
+    return rows.withColumn("_nth", first).where((F.col("_nth") == 1) | (F.col("ats_source") != "workday")).drop("_nth")
+
+
+def _detailed_items(bronze: DataFrame, f: _Feeds) -> DataFrame:
+    """The newest detail of a posting, of whichever run."""
+    rows = detailed_rows(bronze, f.feeds)
+    rows = rows.withColumn("info", F.max("info").over(Window.partitionBy(*BOARD, "key"))).where(~F.col("detail"))
+    rows = first_of_run(rows) if f.has("workday") else rows
+    return rows.drop("detail", "term_no")
 
 
 def _conformed(rows: DataFrame, f: _Feeds, as_of: Column | None) -> DataFrame:
@@ -376,6 +387,11 @@ def conform_all(bronze: DataFrame, feeds: Iterable[str] | None = None, as_of: Co
     return _conformed(rows, f, as_of)
 
 
+def conform_detailed(rows: DataFrame, feeds: Iterable[str] = DETAILED, as_of: Column | None = None) -> DataFrame:
+    """The conformed shape of postings (``detailed_rows``) beside their details."""
+    return _conformed(rows, _Feeds(x for x in DETAILED if x in set(feeds)), as_of)
+
+
 def conform(ats: str, bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
     """The postings of one feed."""
     return conform_all(bronze, [ats], as_of)

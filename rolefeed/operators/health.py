@@ -86,6 +86,71 @@ def board_health(
     )
 
 
+HOUR_SUMMARY = (
+    "company_slug string, ats_source string, hour timestamp, heads array<struct<finished_at:timestamp,seq:bigint>>, head_n int, "
+    "dead struct<at:struct<finished_at:timestamp,seq:bigint>,n:int>, has_ok boolean, last_n int, stamp timestamp, retired_at timestamp"
+)
+
+
+def hour_summaries(polls: DataFrame, condemns: Column | None = None, retire_after: int = V.RETIRE_AFTER) -> DataFrame:
+    """What an hour of polls does to a board, whatever its state before: one
+    row per (board, hour) that :func:`fold_hours` combines in order. Before the
+    first ok (the head) the result depends on the count brought along, so the
+    first ``retire_after`` condemning polls and the first dead404 are kept; after
+    it, it does not. A late poll changes the summary of its hour only."""
+    cond = condemns if condemns is not None else F.lit(True)
+    at = F.struct("finished_at", F.col("seq").cast("bigint").alias("seq"))
+    fail, ok, dead = (F.col("status") == "pfail") & cond, F.col("status") == "ok", F.col("status") == "dead404"
+    hour = [*BOARD, "hour"]
+    so_far = Window.partitionBy(*hour).orderBy("finished_at", "seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    p = polls.withColumn("hour", F.date_trunc("hour", F.col("finished_at"))).withColumn("_at", at)
+    p = p.withColumn("_c", F.count_if(fail).over(so_far)).withColumn("_r", F.count_if(ok).over(so_far))
+    p = p.withColumn("_n", F.col("_c") - F.coalesce(F.max(F.when(ok, F.col("_c"))).over(so_far), F.lit(0)))
+    head = F.col("_r") == 0
+    p = p.withColumn("_ret", F.min(F.when(~head & (dead | (fail & (F.col("_n") >= retire_after))), F.col("_at"))).over(Window.partitionBy(*hour)))
+    before = F.col("_ret").isNull() | (F.col("_at") < F.col("_ret"))
+    return p.groupBy(*hour).agg(
+        F.array_sort(F.collect_list(F.when(head & fail & (F.col("_c") <= retire_after), F.col("_at")))).alias("heads"),
+        F.count_if(head & fail).cast("int").alias("head_n"),
+        F.min(F.when(head & dead, F.struct(F.col("_at").alias("at"), F.col("_c").cast("int").alias("n")))).alias("dead"),
+        F.max(ok).alias("has_ok"),
+        F.max(F.when(~head & before & (ok | fail), F.struct("_at", F.col("_n").alias("n"))))["n"].cast("int").alias("last_n"),
+        F.max(F.when(before & ok, F.col("finished_at"))).alias("stamp"),
+        F.min("_ret")["finished_at"].alias("retired_at"))
+
+
+def fold_hours(hours: DataFrame, base: DataFrame | None = None, retire_after: int = V.RETIRE_AFTER) -> DataFrame:
+    """The boards' states from their hour summaries, in the order of the
+    hours, starting from ``base`` (the companies rows before any of them). Equal
+    to :func:`board_health` over all polls, whatever the order they came in."""
+    columns = [c for c in hours.columns if c not in BOARD]
+    per_board = hours.groupBy(*BOARD).agg(F.array_sort(F.collect_list(F.struct(*columns)), lambda a, b: F.when(a["hour"] < b["hour"], -1).when(a["hour"] > b["hour"], 1).otherwise(0)).alias("_h"))
+    if base is not None:
+        per_board = per_board.join(base.select(*BOARD, F.col("fail_count").alias("_f0"), F.col("still_active").alias("_a0"), F.col("last_polled_at").alias("_p0")), BOARD, "left")
+    else:
+        per_board = per_board.select("*", F.lit(None).cast("int").alias("_f0"), F.lit(None).cast("boolean").alias("_a0"), F.lit(None).cast("timestamp").alias("_p0"))
+
+    def state(n: Column, stamp: Column, retired: Column) -> Column:
+        return F.struct(n.cast("int").alias("n"), stamp.alias("stamp"), retired.alias("retired"))
+
+    def step(s: Column, x: Column) -> Column:
+        k = F.greatest(F.lit(1), F.lit(retire_after) - F.coalesce(s["n"], F.lit(0)))
+        condemned, dead = F.get(x["heads"], k - 1), x["dead"]["at"]
+        first = F.least(condemned, dead)
+        added = F.when(first.isNull(), x["head_n"]).when(first == condemned, k - 1).otherwise(x["dead"]["n"])
+        n = F.when(added > 0, F.coalesce(s["n"], F.lit(0)) + added).otherwise(s["n"])
+        return (F.when(s["retired"].isNotNull(), s)
+                .when(first.isNotNull(), state(n, s["stamp"], first["finished_at"]))
+                .when(x["has_ok"], state(x["last_n"], x["stamp"], x["retired_at"]))
+                .otherwise(state(n, s["stamp"], s["retired"])))
+
+    gone = F.coalesce(~F.col("_a0"), F.lit(False))  # retired before: not polled (F5)
+    start = state(F.col("_f0"), F.col("_p0"), F.lit(None).cast("timestamp"))
+    out = per_board.withColumn("_s", F.when(gone, start).otherwise(F.aggregate("_h", start, step)))
+    return out.select(*BOARD, F.col("_s.n").alias("fail_count"), F.when(F.col("_s.retired").isNotNull(), F.lit(False)).otherwise(F.col("_a0")).alias("still_active"),
+                      F.col("_s.stamp").alias("last_polled_at"), F.col("_s.retired").alias("retired_at"))
+
+
 def retired_in(state: DataFrame) -> DataFrame:
     """The boards that a fold retired, with the run that did it."""
     return state.where(F.col("retired_at").isNotNull()).select(F.col("retired_run").alias("run_id"), *BOARD)

@@ -20,14 +20,16 @@ BUCKET = "_bucket"
 
 class KeyedTable:
     """Table at ``path`` with one row per ``keys``; ``schema`` as DDL. Choose
-    ``buckets`` so that a bucket is some hundred MB."""
+    ``buckets`` so that a bucket is some hundred MB. ``bucket_by``: the keys that
+    decide the bucket (default all), so that rows which are read together lie
+    together."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], buckets: int = 64):
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], buckets: int = 64, bucket_by: Sequence[str] | None = None):
         self.spark, self.path, self.keys, self.buckets = spark, path, list(keys), buckets
-        self.schema = schema
+        self.schema, self.bucket_by = schema, list(bucket_by or keys)
 
     def _bucketed(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int"))
 
     def _write(self, df: DataFrame, mode: str) -> None:
         columns = self.spark.createDataFrame([], self.schema).columns
@@ -52,9 +54,9 @@ class KeyedTable:
         return df.orderBy(*order) if order else df
 
     def near(self, rows: DataFrame) -> DataFrame:
-        """The stored rows of the buckets that the keys of ``rows`` fall into;
+        """The stored rows of the buckets that ``rows`` (their ``bucket_by``) fall into;
         the other buckets are pruned. At most ``buckets`` numbers are collected."""
-        touched = [r[0] for r in self._bucketed(rows.select(*self.keys)).select(BUCKET).distinct().collect()]
+        touched = [r[0] for r in self._bucketed(rows.select(*self.bucket_by)).select(BUCKET).distinct().collect()]
         return self._stored().where(F.col(BUCKET).isin(touched)).drop(BUCKET)
 
     def append(self, rows: DataFrame) -> None:
