@@ -123,6 +123,11 @@ class _Feeds:
         return self.case(*[(tuple(feeds), of(*key)) for key, feeds in by_path.items()], otherwise=otherwise)
 
 
+def field_names() -> list[str]:
+    """The raw fields of a posting."""
+    return list(_fields(_Feeds(())))
+
+
 def _label(v: Column, path: str) -> Column:
     return label(vget(v, path))
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,13 @@ class KeyedTable:
         self._write(rows if rows is not None else self.spark.createDataFrame([], self.schema), "errorifexists")
         return self
 
+    def exists(self) -> bool:
+        try:
+            self.spark.read.schema(self.schema).parquet(self.path)
+        except AnalysisException:
+            return False
+        return True
+
     def _stored(self) -> DataFrame:
         return self.spark.read.schema(f"{self.schema}, {BUCKET} int").parquet(self.path)
 
