@@ -16,6 +16,7 @@ Every query reads whole tables; nothing is sampled or capped.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,8 @@ from ..operators.boards import classify_ats, extract_board
 from . import discover as disc
 from . import prune as pr
 from . import sqlfrag as S
+from ..session import ensure_checkpoint_dir
+from ..sources.tables import KeyedTable
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
@@ -245,6 +248,21 @@ def q_prune_apply(spark, sf):
     return kept.select("canonical_url", "company_slug", ts_text(F.col("last_seen_at")).alias("last_seen_at"))
 
 
+@register("Q2_S6_prune_table", _sql_prune_classified("apply") + f"""
+, u AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY canonical_url ORDER BY last_seen_at DESC NULLS LAST, company_slug DESC) = 1),
+g AS (SELECT count(*) FILTER (WHERE bucket <> 'keep') / count(*) > 0.4 AS breach FROM u)
+SELECT canonical_url, company_slug, {S.ts_text('last_seen_at')} AS last_seen_at FROM u, g WHERE bucket = 'keep' OR g.breach""")
+def q_prune_table(spark, sf):
+    """The same on a stored table with one row a URL: classified, gated, and the
+    doomed rows deleted by key."""
+    l, c = prune_inputs(spark, sf, "apply")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/listings-{uuid.uuid4().hex}"
+    stored = KeyedTable(spark, path, ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in l.schema), ["canonical_url"], 4)
+    stored.create(dedup.last_wins(l, ["canonical_url"], ["last_seen_at", "company_slug"]))
+    pr.run_prune(stored, c)
+    return stored.read().select("canonical_url", "company_slug", ts_text(F.col("last_seen_at")).alias("last_seen_at"))
+
+
 @register("Q2_prune_apply_breach", _sql_prune_classified("report") + f"""
 , g AS (SELECT count(*) FILTER (WHERE bucket <> 'keep') / count(*) > 0.4 AS breach FROM k)
 SELECT canonical_url, company_slug, {S.ts_text('last_seen_at')} AS last_seen_at FROM k, g WHERE bucket = 'keep' OR g.breach""")
@@ -405,6 +423,28 @@ def q_discover(spark, sf):
     return _discover(spark, sf)
 
 
+_ONE_FEED = EXAMPLE_DOMAINS[0][1]
+
+
+@register("F11_discover_one_feed", _SQL_DISCOVER.replace(_sql_extract("idx", EXAMPLE_DOMAINS), _sql_extract("idx", [d for d in EXAMPLE_DOMAINS if d[1] == _ONE_FEED]))
+          + "\nSELECT company_slug, ats_source, pattern FROM new")
+def q_discover_one_feed(spark, sf):
+    idx = url_index(spark, sf)
+    known = extract_board(disc.index_urls(idx, crawl_id="crawl-1"), "url", EXAMPLE_DOMAINS).where(F.col("company_slug").isNotNull())
+    return disc.discover(disc.index_urls(idx), known.select("company_slug", "ats_source"), EXAMPLE_DOMAINS, only=_ONE_FEED)
+
+
+@register("E8_parse_iso", f"""
+SELECT o_orderkey, {S.ts_text("CASE o_orderkey % 4 WHEN 0 THEN CAST(o_orderdate AS TIMESTAMP) + INTERVAL 9 HOUR WHEN 1 THEN CAST(o_orderdate AS TIMESTAMP) + INTERVAL 7 HOUR WHEN 2 THEN CAST(o_orderdate AS TIMESTAMP) END")} AS at
+FROM orders""")
+def q_parse_iso(spark, sf):
+    """Stamps in UTC, with an offset, dates alone, and texts that are none."""
+    day, form = F.date_format("o_orderdate", "yyyy-MM-dd"), F.pmod(F.col("o_orderkey"), F.lit(4))
+    text = (F.when(form == 0, F.concat(day, F.lit("T09:00:00Z"))).when(form == 1, F.concat(day, F.lit("T09:00:00+02:00")))
+            .when(form == 2, day).otherwise(F.concat(F.lit("about "), day)))
+    return table(spark, sf, "orders").select("o_orderkey", ts_text(misc.parse_iso(text)).alias("at"))
+
+
 @register("P20_P21_E5_classify_ats", """
 SELECT page_id, CASE WHEN page_id % 6 < 5 THEN ['greenhouse', 'greenhouse', 'breezy', 'lever', 'greenhouse'][(page_id % 6) + 1] END AS ats_source,
        CASE WHEN page_id % 6 < 4 THEN 'co' || page_id END AS company_slug FROM pages""")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import values as V
+from ..functions.urls import host
 from ..operators import health
 from ..operators.boards import registry_table
 from ..sources import tables as T
@@ -197,29 +198,28 @@ def q_seed_summary(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# Q6 query plan: nations as domains, the fixed field list as slices.
+# Q6 query plan: the hosts of pages as domains (numbered by their first page),
+# the fixed field list as slices.
 # ---------------------------------------------------------------------------
-def _nation_domains(spark, sf) -> DataFrame:
-    n = table(spark, sf, "nation")
-    return n.select(
-        F.col("n_nationkey").alias("ordinal"),
-        F.concat(F.lower("n_name"), F.lit(".example.com")).alias("domain"),
-        F.concat(F.lit("site_"), F.col("n_regionkey")).alias("ats"),
-    )
+def _host_domains(spark, sf) -> DataFrame:
+    p = table(spark, sf, "pages").select(host("url").alias("domain"), F.col("page_id").alias("id")).where(F.col("domain") != "")
+    return p.groupBy("domain").agg(F.min("id").alias("ordinal")).select(
+        "ordinal", "domain", F.concat(F.lit("site_"), F.pmod(F.col("ordinal"), F.lit(5))).alias("ats"))
 
 
 _FIELDS_VALUES = ", ".join(f"({i}, {S.q(f)})" for i, f in enumerate([""] + list(V.FIELD_TERMS)))
 _SQL_PLAN = f"""
 WITH f(f_ord, field) AS (VALUES {_FIELDS_VALUES}),
-p AS (SELECT n_nationkey * {len(V.FIELD_TERMS) + 1} + f_ord AS combo_idx,
-             'site:' || lower(n_name) || '.example.com' || CASE WHEN field <> '' THEN ' ' || field ELSE '' END AS q,
-             lower(n_name) || '.example.com' AS domain, 'site_' || n_regionkey AS ats, field
-      FROM nation CROSS JOIN f)"""
+h AS (SELECT {S.host('url')} AS domain, min(page_id) AS ordinal FROM pages GROUP BY 1 HAVING domain <> ''),
+p AS (SELECT ordinal * {len(V.FIELD_TERMS) + 1} + f_ord AS combo_idx,
+             'site:' || domain || CASE WHEN field <> '' THEN ' ' || field ELSE '' END AS q,
+             domain, 'site_' || (ordinal % 5) AS ats, field
+      FROM h CROSS JOIN f)"""
 
 
 @register("Q6_J8_query_plan", _SQL_PLAN + "\nSELECT combo_idx, q, domain, ats, field FROM p")
 def q_plan(spark, sf):
-    return SD.build_queries(_nation_domains(spark, sf))
+    return SD.build_queries(_host_domains(spark, sf))
 
 
 @register("A6_plan_profile", _SQL_PLAN + """
@@ -227,12 +227,12 @@ SELECT CAST(count(*) AS BIGINT) AS combos, CAST(count(*) FILTER (WHERE field = '
        CAST(count(*) FILTER (WHERE field <> '') AS BIGINT) AS sliced, CAST(count(DISTINCT domain) AS BIGINT) AS domains,
        CAST(count(DISTINCT field) FILTER (WHERE field <> '') AS BIGINT) AS fields FROM p""")
 def q_plan_profile(spark, sf):
-    return SD.preview(SD.build_queries(_nation_domains(spark, sf)))
+    return SD.preview(SD.build_queries(_host_domains(spark, sf)))
 
 
 @register("L2_query_limit", _SQL_PLAN + "\nSELECT combo_idx, q FROM p WHERE combo_idx < 100")
 def q_plan_limit(spark, sf):
-    return SD.limit_queries(SD.build_queries(_nation_domains(spark, sf)), 100).select("combo_idx", "q")
+    return SD.limit_queries(SD.build_queries(_host_domains(spark, sf)), 100).select("combo_idx", "q")
 
 
 # ---------------------------------------------------------------------------
@@ -388,16 +388,6 @@ def q_pollable(spark, sf):
     return health.pollable(queue_companies(spark, sf)).select("company_slug", "ats_source")
 
 
-@register("W8_poll_waves", _SQL_QUEUE + f""",
-w AS (SELECT host, CASE WHEN host IS NULL THEN 1 ELSE CAST(ceil(row_number() OVER (PARTITION BY host ORDER BY company_slug) / {PER_HOST}) AS INTEGER) END AS wave FROM p)
-SELECT host, wave, CAST(count(*) AS BIGINT) AS boards FROM w GROUP BY host, wave""")
-def q_waves(spark, sf):
-    # boards numbered within their host, in batches of PER_HOST
-    b = health.with_host(health.pollable(queue_companies(spark, sf)), registry_table(spark))
-    w = health.poll_waves(b, run_id="run-1", per_host=PER_HOST)
-    return w.groupBy("host", "wave").agg(F.count(F.lit(1)).alias("boards"))
-
-
 @register("A10_queue_profile", _SQL_QUEUE + """
 SELECT host_class, host, CAST(count(*) AS BIGINT) AS boards FROM p GROUP BY host_class, host
 UNION ALL SELECT 'total', NULL, CAST(count(*) AS BIGINT) FROM c

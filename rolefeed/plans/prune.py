@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from ..session import cut_lineage, ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import KeyedTable
 
 BOARD = ["company_slug", "ats_source"]
@@ -63,17 +63,25 @@ def bucket_counts(classified: DataFrame) -> DataFrame:
     return g.withColumn("share", F.col("listings") / total)
 
 
-def survivors(classified: DataFrame, safety: float = V.SAFETY_FRACTION) -> DataFrame:
-    """Q2: the listings left after pruning. When the gate trips nothing is
-    deleted (every row survives). The classified rows are written once, so the
-    join runs once for the counts and the survivors; the verdict is a scalar
-    subquery over the bucket column alone, not a join."""
+def _counted(classified: DataFrame, safety: float) -> tuple[DataFrame, dict]:
+    """The classified rows written once, and the report over them, counted by
+    the tasks that wrote them: no second scan for the verdict."""
     spark = classified.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/classified-{uuid.uuid4().hex}"
-    classified.write.parquet(path)
-    classified = spark.read.schema(classified.schema).parquet(path)
-    breach = report(classified, safety).select("breach").scalar()
-    return classified.where((F.col("bucket") == "keep") | breach)
+    counts, b = Observation(), F.col("bucket")
+    classified.observe(counts, F.count(F.lit(1)).alias("total"), *[F.count_if(b == x).alias(x) for x in ("gone", "dead", "orphan")]).write.parquet(path)
+    n = counts.get
+    doomed = n["gone"] + n["dead"] + n["orphan"]
+    share = doomed / n["total"] if n["total"] else 0.0
+    return spark.read.schema(classified.schema).parquet(path), {**n, "doomed": doomed, "share": share, "breach": share > safety}
+
+
+def survivors(classified: DataFrame, safety: float = V.SAFETY_FRACTION) -> DataFrame:
+    """Q2: the listings left after pruning. When the gate trips nothing is
+    deleted (every row survives). The join with the boards runs once, in the
+    write that also counts the buckets."""
+    rows, rep = _counted(classified, safety)
+    return rows if rep["breach"] else rows.where(F.col("bucket") == "keep")
 
 
 def run_prune(listings: KeyedTable, companies: DataFrame, dry_run: bool = False, margin_hours: float = V.STALE_MARGIN_HOURS,
@@ -81,8 +89,7 @@ def run_prune(listings: KeyedTable, companies: DataFrame, dry_run: bool = False,
     """Q2: classify, gate (one-row action), then delete the doomed rows. A dry
     run reports the breach instead of raising."""
     keyed = classify(listings.read(), companies, margin_hours).select("canonical_url", "bucket")
-    keyed = cut_lineage(keyed)  # key and bucket, read for the report and for the deletes
-    rep = report(keyed, safety).collect()[0].asDict()
+    keyed, rep = _counted(keyed, safety)
     if rep["breach"] and not dry_run:
         raise PruneAborted(f"would prune {rep['doomed']}/{rep['total']} ({rep['share']:.0%} > {safety:.0%})")
     if dry_run or rep["doomed"] == 0:

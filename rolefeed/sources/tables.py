@@ -1,10 +1,12 @@
 """Keyed Parquet tables (S1-S6) with plain Spark reads and writes.
 
-A :class:`KeyedTable` is a folder of Parquet files partitioned by a hash bucket
-of its key. An upsert reads and rewrites only the buckets that its rows fall
-into (dynamic partition overwrite); the files of all other buckets stay as they
-are. :func:`merge`, :func:`patch` and :func:`delete` are the same steps on
-DataFrames.
+A :class:`KeyedTable` keeps its rows in files by a hash bucket of the key. A
+write puts the buckets it touches into a folder of its own version and then
+appends one small file that names the folders of every bucket in that version.
+That file appears as a whole or not at all, and no stored file is changed: a
+reader stays on the version it opened, a write that fails leaves no trace that
+is read, and a bucket left without a row is just not named any more.
+:func:`merge`, :func:`patch` and :func:`delete` are the same steps on DataFrames.
 """
 from __future__ import annotations
 
@@ -17,13 +19,14 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 BUCKET = "_bucket"
+POINTERS = f"version bigint, {BUCKET} int, folder string"
 
 
 class KeyedTable:
     """Table at ``path`` with one row per ``keys``; ``schema`` as DDL. Choose
     ``buckets`` so that a bucket is some hundred MB. ``bucket_by``: the keys that
     decide the bucket (default all), so that rows which are read together lie
-    together."""
+    together. One writer at a time; any number of readers."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], buckets: int = 64, bucket_by: Sequence[str] | None = None):
         self.spark, self.path, self.keys, self.buckets = spark, path, list(keys), buckets
@@ -32,28 +35,55 @@ class KeyedTable:
     def _bucketed(self, df: DataFrame) -> DataFrame:
         return df.withColumn(BUCKET, F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int"))
 
-    def _write(self, df: DataFrame, mode: str) -> None:
+    def _touched(self, rows: DataFrame) -> list[int]:
+        """Buckets that ``rows`` fall into: at most ``buckets`` numbers."""
+        return [r[0] for r in self._bucketed(rows.select(*self.bucket_by)).select(BUCKET).distinct().collect()]
+
+    def _folders(self) -> tuple[int, dict[int, list[str]]]:
+        """The newest version and the folders of its buckets."""
+        pointers = self.spark.read.schema(POINTERS).parquet(f"{self.path}/versions")
+        newest = pointers.agg(F.max("version").alias("v")).first()["v"]
+        named: dict[int, list[str]] = {}
+        for r in pointers.where((F.col("version") == newest) & (F.col(BUCKET) >= 0)).collect():
+            named.setdefault(r[BUCKET], []).append(r["folder"])
+        return newest, named
+
+    def _commit(self, version: int, named: Mapping[int, Sequence[str]]) -> None:
+        rows = [(version, -1, "")] + [(version, b, f) for b, folders in named.items() for f in folders]
+        self.spark.createDataFrame(rows, POINTERS).coalesce(1).write.mode("append").parquet(f"{self.path}/versions")
+
+    def _write(self, df: DataFrame, touched: Sequence[int] | None = None) -> None:
+        """A new version: ``df`` are all rows of the buckets ``touched`` (or, if
+        None, rows added to whatever is there)."""
+        version, named = self._folders() if self.exists() else (-1, {})
+        folder = f"{self.path}/rows/v{version + 1:08d}"
         columns = self.spark.createDataFrame([], self.schema).columns
         out = self._bucketed(df.select(*columns)).repartition(BUCKET)
-        out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.path)
-
-    def create(self, rows: DataFrame | None = None) -> KeyedTable:
-        self._write(rows if rows is not None else self.spark.createDataFrame([], self.schema), "errorifexists")
-        return self
+        out.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
+        written = self.spark.read.schema(f"{self.schema}, {BUCKET} int").parquet(folder)
+        new = {r[0]: [f"{folder}/{BUCKET}={r[0]}"] for r in written.select(BUCKET).distinct().collect()}
+        kept = {b: f for b, f in named.items() if b not in (touched or ())}
+        self._commit(version + 1, {b: [*kept.get(b, []), *new.get(b, [])] for b in {**kept, **new}})
 
     def exists(self) -> bool:
         try:
-            self.spark.read.schema(self.schema).parquet(self.path)
+            self.spark.read.schema(POINTERS).parquet(f"{self.path}/versions")
         except AnalysisException:
             return False
         return True
 
-    def _stored(self) -> DataFrame:
-        return self.spark.read.schema(f"{self.schema}, {BUCKET} int").parquet(self.path)
+    def create(self, rows: DataFrame | None = None) -> KeyedTable:
+        if self.exists():
+            raise ValueError(f"there is a table at {self.path}")
+        self._write(rows if rows is not None else self.spark.createDataFrame([], self.schema))
+        return self
+
+    def _of(self, folders: Sequence[str]) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*folders) if folders else self.spark.createDataFrame([], self.schema)
 
     def read(self) -> DataFrame:
-        """All rows (pushdown and pruning apply)."""
-        return self._stored().drop(BUCKET)
+        """All rows of the newest version (pushdown and pruning apply)."""
+        return self._of([f for folders in self._folders()[1].values() for f in folders])
 
     def select(self, columns: Sequence[str], where: Column | str | None = None, order: Sequence[str] = ()) -> DataFrame:
         """Named columns under a predicate, ordered. No row cap."""
@@ -61,40 +91,36 @@ class KeyedTable:
         df = df.select(*columns)
         return df.orderBy(*order) if order else df
 
+    def _near(self, touched: Sequence[int]) -> DataFrame:
+        named = self._folders()[1]
+        return self._of([f for b in touched for f in named.get(b, [])])
+
     def near(self, rows: DataFrame) -> DataFrame:
-        """The stored rows of the buckets that ``rows`` (their ``bucket_by``) fall into;
-        the other buckets are pruned. At most ``buckets`` numbers are collected."""
-        touched = [r[0] for r in self._bucketed(rows.select(*self.bucket_by)).select(BUCKET).distinct().collect()]
-        return self._stored().where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+        """The stored rows of the buckets that ``rows`` (their ``bucket_by``) fall
+        into; the files of other buckets are not opened."""
+        return self._near(self._touched(rows))
 
     def append(self, rows: DataFrame) -> None:
         """S3: plain insert of new keys; no stored file is read or rewritten."""
-        self._write(rows, "append")
+        self._write(rows)
 
     def upsert(self, rows: DataFrame, **options) -> None:
         """S4 (see :func:`merge`) on the touched buckets only."""
         rows = cut_lineage(rows)
-        self._write(cut_lineage(merge(self.near(rows), rows, self.keys, **options)), "overwrite")
+        touched = self._touched(rows)
+        self._write(merge(self._near(touched), rows, self.keys, **options), touched)
 
     def patch(self, match: Column, values: Mapping[str, Column]) -> None:
         """Only buckets with a matching row are rewritten."""
-        hit = self.read().where(F.coalesce(match, F.lit(False))).select(*self.keys)
-        self._write(cut_lineage(patch(self.near(hit), match, values)), "overwrite")
+        touched = self._touched(self.read().where(F.coalesce(match, F.lit(False))).select(*self.keys))
+        self._write(patch(self._near(touched), match, values), touched)
 
     def delete(self, ids: DataFrame) -> None:
-        """Stored rows whose key is in ``ids``, in their buckets only; when a
-        bucket is left without a row the table is rewritten."""
+        """Stored rows whose key is in ``ids``, in their buckets only. With
+        ``bucket_by`` fewer than the keys, ``ids`` hold all keys as well."""
         ids = cut_lineage(ids.select(*self.keys))
-        old = self.near(ids)
-        left = cut_lineage(delete(old, ids, self.keys))
-        emptied = self._bucketed(old.select(*self.keys)).select(BUCKET).distinct().join(self._bucketed(left.select(*self.keys)).select(BUCKET).distinct(), BUCKET, "left_anti")
-        marker = [r[0] for r in emptied.collect()]
-        if marker:  # dynamic overwrite leaves a partition that gets no row: rewrite the table without it
-            whole = cut_lineage(delete(self.read(), ids, self.keys))
-            out = self._bucketed(whole).repartition(BUCKET)
-            out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(self.path)
-        else:
-            self._write(left, "overwrite")
+        touched = self._touched(ids)
+        self._write(delete(self._near(touched), ids, self.keys), touched)
 
 
 def merge(

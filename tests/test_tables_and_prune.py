@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rolefeed.plans import prune as pr
 from rolefeed.sources import tables as T
+from rolefeed.sources.tables import BUCKET
 
 T0 = dt.datetime(2024, 1, 1, 12, 0, 0)
 LS = "canonical_url string, company_slug string, ats_source string, last_seen_at timestamp"
@@ -30,7 +31,7 @@ def test_monotone_stamp(spark):
 
 
 def _files(path):
-    return {os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.startswith("part-")}
+    return {os.path.join(d, f) for d, _, names in os.walk(f"{path}/rows") for f in names if f.startswith("part-") and BUCKET in d}
 
 
 def test_keyed_table_rewrites_touched_buckets_only(spark):
@@ -40,7 +41,7 @@ def test_keyed_table_rewrites_touched_buckets_only(spark):
     before = _files(path)
     t.upsert(spark.createDataFrame([(7, "new")], "id int, s string"))
     after = _files(path)
-    assert len(before - after) == len(after - before) == 1 and rows()[7] == "new" and len(rows()) == 100
+    assert before < after and len(after - before) == 1 and rows()[7] == "new" and len(rows()) == 100
     t.patch(F.col("id") == 9, {"s": F.lit("patched")})
     t.delete(spark.createDataFrame([(3,)], "id int"))
     kept = _files(path)
@@ -52,6 +53,23 @@ def test_keyed_table_rewrites_touched_buckets_only(spark):
     assert t.read().collect() == []
 
 
+def test_readers_stay_on_their_version_and_an_emptied_bucket_goes_alone(spark):
+    path = tempfile.mkdtemp(prefix="rolefeed-keyed-") + "/t"
+    t = T.KeyedTable(spark, path, "id int, s string", ["id"], 4).create(spark.createDataFrame([(i, "old") for i in range(40)], "id int, s string"))
+    opened = t.read()
+    in_bucket = t.near(spark.createDataFrame([(5, "")], "id int, s string"))
+    doomed = sorted(r["id"] for r in in_bucket.collect())
+    before = _files(path)
+    t.delete(in_bucket.select("id"))
+    assert _files(path) == before  # no other bucket is written, no file is touched
+    t.upsert(spark.createDataFrame([(39, "new"), (99, "new")], "id int, s string"))
+    assert sorted(r["id"] for r in opened.collect()) == list(range(40)) and {r["s"] for r in opened.collect()} == {"old"}
+    left = {r["id"]: r["s"] for r in t.read().collect()}
+    assert sorted(left) == sorted({*range(40), 39, 99} - set(doomed) | {39}) and left[39] == left[99] == "new"
+    with pytest.raises(ValueError):
+        t.create()
+
+
 def test_prune_boundaries(spark):
     lst = spark.createDataFrame([
         ("exact", "b1", "lever", T0), ("over", "b2", "lever", T0 - dt.timedelta(microseconds=1)),
