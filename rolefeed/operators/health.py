@@ -151,6 +151,18 @@ def fold_hours(hours: DataFrame, base: DataFrame | None = None, retire_after: in
                       F.col("_s.stamp").alias("last_polled_at"), F.col("_s.retired").alias("retired_at"))
 
 
+def listing_sketches(rows: DataFrame, lg_k: int = 12) -> DataFrame:
+    """A2 by sketch: per run an HLL sketch of its distinct listings, a few
+    kilobytes whatever their number. Kept beside the summary, sketches of any
+    runs are united (:func:`united`) without reading a row again."""
+    return rows.groupBy("run_id").agg(F.hll_sketch_agg("canonical_url", F.lit(lg_k)).alias("sketch"))
+
+
+def united(sketches: DataFrame, *keys: str) -> DataFrame:
+    """Distinct listings over the runs of each group, estimated."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch", F.lit(True))).alias("listings"))
+
+
 def retired_in(state: DataFrame) -> DataFrame:
     """The boards that a fold retired, with the run that did it."""
     return state.where(F.col("retired_at").isNotNull()).select(F.col("retired_run").alias("run_id"), *BOARD)

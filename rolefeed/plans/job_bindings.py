@@ -413,6 +413,30 @@ def q_refresh_summary(spark, sf):
     return _refresh(spark, sf)["summary"].select("run_id", "jobs_seen", "errors", "dead404", "boards_matched", "listings", "retired")
 
 
+# ---------------------------------------------------------------------------
+# A2 by stored sketches, beside the exact counts: years of orders as runs.
+# ---------------------------------------------------------------------------
+_SQL_URL = "'https://jobs.example.com/c' || o_custkey || '/' || substr(o_orderpriority, 1, 1)"
+SKETCH_ERROR = 3 * 1.04 / (1 << 6)  # three standard errors of 2^12 registers
+
+
+@register("A2_distinct_sketches", f"""
+SELECT strftime(o_orderdate, '%Y') AS run_id, CAST(count(DISTINCT {_SQL_URL}) AS BIGINT) AS listings, true AS within FROM orders GROUP BY 1
+UNION ALL SELECT 'all', CAST(count(DISTINCT {_SQL_URL}) AS BIGINT), true FROM orders""")
+def q_distinct_sketches(spark, sf):
+    rows = table(spark, sf, "orders").select(
+        F.date_format("o_orderdate", "yyyy").alias("run_id"),
+        F.concat(F.lit("https://jobs.example.com/c"), F.col("o_custkey"), F.lit("/"), F.substring("o_orderpriority", 1, 1)).alias("canonical_url"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/sketches-{uuid.uuid4().hex}"
+    health.listing_sketches(rows).write.parquet(path)
+    sketches = spark.read.schema("run_id string, sketch binary").parquet(path)
+    guess = health.united(sketches, "run_id").unionByName(health.united(sketches).select(F.lit("all").alias("run_id"), "listings"))
+    exact = rows.groupBy("run_id").agg(F.count_distinct("canonical_url").alias("exact"))
+    exact = exact.unionByName(rows.agg(F.count_distinct("canonical_url").alias("exact")).select(F.lit("all").alias("run_id"), "exact"))
+    within = F.abs(F.col("listings") - F.col("exact")) <= F.col("exact") * SKETCH_ERROR
+    return exact.join(guess, "run_id").select("run_id", F.col("exact").alias("listings"), within.alias("within"))
+
+
 # ---------------------------------------------------------------------------
 # Boards upserts: after discover (Q4), from a capture (Q5), after repair (Q7).
 # ---------------------------------------------------------------------------
