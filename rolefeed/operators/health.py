@@ -1,5 +1,5 @@
-"""Board health from a poll log (W3), host failure streaks (W4), numbering of
-boards by host (W8) and the run summaries that read them (A1-A3, A10, A13).
+"""Board health from a poll log (W3), host failure streaks (W4), boards
+by host (W8) and the run summaries that read them (A1-A3, A10, A13).
 
 Poll log columns used: ``company_slug, ats_source, finished_at, seq, status``
 (+ ``profile`` when the condemning rule depends on it, + ``host``). Status is
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import values as V
-from .streaks import running_count, streak_since_reset
+from .streaks import streak_since_reset
 
 BOARD = ["company_slug", "ats_source"]
 
@@ -253,17 +253,11 @@ def with_host(companies: DataFrame, registry: DataFrame) -> DataFrame:
     ).drop("slug_in", "api_host")
 
 
-def poll_waves(boards: DataFrame, run_id: str, per_host: int) -> DataFrame:
-    """W8 as a numbering: boards of a shared host in a per-run hash order, in
-    batches of ``per_host``; boards of a unique host are batch 1. Ranks come
-    from the bucketed running count, so the hottest host spreads over tasks.
-    """
-    h = F.xxhash64(F.col("company_slug"), F.col("ats_source"), F.lit(run_id))
-    shared = boards.where(F.col("host").isNotNull()).withColumn("_h", h)
-    ranked = running_count(shared, ["host"], ["_h", "company_slug", "ats_source"], F.shiftright(F.col("_h"), 52), name="_rank")
-    ranked = ranked.withColumn("wave", F.ceil(F.col("_rank") / F.lit(per_host)).cast("int")).drop("_h", "_rank")
-    unique = boards.where(F.col("host").isNull()).withColumn("wave", F.lit(1))
-    return ranked.unionByName(unique)
+def host_load(boards: DataFrame) -> DataFrame:
+    """W8 as a report: boards and feeds of each shared host (those of feeds with
+    a host a board under NULL). Partial aggregates: a host of very many boards
+    is one row a task."""
+    return boards.groupBy("host").agg(F.count(F.lit(1)).alias("boards"), F.count_distinct("ats_source").alias("feeds"))
 
 
 def queue_profile(companies: DataFrame, registry: DataFrame, feeds: Sequence[str] = V.POLLABLE) -> DataFrame:

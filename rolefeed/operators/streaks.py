@@ -3,7 +3,7 @@
 ``streak_since_reset`` gives, for every row, how many "count" rows occurred
 since the key's last "reset" row (inclusive of the current row), plus the
 running number of resets. It is the building block of the board health fold
-(W3), the host circuit breaker (W4) and the wave numbering (W8).
+(W3), the host circuit breaker (W4) and the running credits (W5).
 
 A plain ``Window.partitionBy(key).orderBy(...)`` sends all rows of a key to one
 task. Here the order is cut into buckets (a column monotone in the order, e.g.

@@ -388,6 +388,12 @@ def q_pollable(spark, sf):
     return health.pollable(queue_companies(spark, sf)).select("company_slug", "ats_source")
 
 
+@register("W8_host_load", _SQL_QUEUE + """
+SELECT host, CAST(count(*) AS BIGINT) AS boards, CAST(count(DISTINCT ats_source) AS BIGINT) AS feeds FROM p GROUP BY host""")
+def q_host_load(spark, sf):
+    return health.host_load(health.with_host(health.pollable(queue_companies(spark, sf)), registry_table(spark)))
+
+
 @register("A10_queue_profile", _SQL_QUEUE + """
 SELECT host_class, host, CAST(count(*) AS BIGINT) AS boards FROM p GROUP BY host_class, host
 UNION ALL SELECT 'total', NULL, CAST(count(*) AS BIGINT) FROM c
