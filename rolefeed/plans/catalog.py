@@ -423,6 +423,16 @@ def q_discover(spark, sf):
     return _discover(spark, sf)
 
 
+@register("F13_S8_pattern_index", _SQL_DISCOVER + "\nSELECT company_slug, ats_source, pattern FROM new")
+def q_pattern_index(spark, sf):
+    """Q4 over an index that is stored by reversed host and read by pattern."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/url-index-{uuid.uuid4().hex}"
+    for crawl in ("crawl-1", "crawl-2"):
+        disc.write_index(disc.index_urls(url_index(spark, sf), crawl), path, crawl)
+    known = extract_board(disc.read_index(spark, path, EXAMPLE_DOMAINS, "crawl-1"), "url", EXAMPLE_DOMAINS).where(F.col("company_slug").isNotNull())
+    return disc.discover(disc.read_index(spark, path, EXAMPLE_DOMAINS), known.select("company_slug", "ats_source"), EXAMPLE_DOMAINS)
+
+
 _ONE_FEED = EXAMPLE_DOMAINS[0][1]
 
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import values as V
+from ..functions.urls import host
 from ..operators.boards import extract_board
 from ..operators.dedup import distinct_pairs
 
@@ -30,6 +31,36 @@ def index_urls(index: DataFrame, crawl_id: str | None = None) -> DataFrame:
     return d.select(F.col("_j.url").alias("url"))
 
 
+def host_key(host: Column) -> Column:
+    """The labels of a host in reverse order, a dot after each: a domain and all
+    hosts below it have keys that begin with the domain's."""
+    return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "."), F.lit("."))
+
+
+def write_index(urls: DataFrame, path: str, crawl_id: str, files: int | None = None) -> None:
+    """A crawl's URLs laid out by reversed host, so that a domain
+    pattern is a range of ``host_key`` and the statistics of most files rule
+    them out. A hot host is spread over files by its URLs."""
+    keyed = urls.select("url", host_key(host("url")).alias("host_key"))
+    keys = ["host_key", "url"]
+    dealt = keyed.repartitionByRange(files, *keys) if files else keyed.repartitionByRange(*keys)
+    dealt.sortWithinPartitions(*keys).withColumn("crawl_id", F.lit(crawl_id)).write.mode("append").partitionBy("crawl_id").parquet(path)
+
+
+def read_index(spark: SparkSession, path: str, domains: Sequence[tuple[str, str, str]], crawl_id: str | None = None) -> DataFrame:
+    """The URLs of the domains' patterns (``*.domain``, ``domain/*``): the ranges
+    are literals, so they reach the scan. Without ``crawl_id``, the newest crawl."""
+    index = spark.read.schema("url string, host_key string, crawl_id string").parquet(path)
+    if crawl_id is None:
+        crawl_id = index.agg(F.max("crawl_id")).first()[0]
+    wanted = F.lit(False)
+    for domain, _, slug_in in domains:
+        key = ".".join(reversed(domain.split("."))) + "."
+        inside = (F.col("host_key") >= key) & (F.col("host_key") < key[:-1] + "/")  # "/" comes right after "."
+        wanted = wanted | (F.col("host_key") == key if slug_in == "path" else inside)
+    return index.where((F.col("crawl_id") == crawl_id) & wanted).select("url")
+
+
 def pattern_of(domain, slug_in):
     """the index query pattern of a domain."""
     return F.when(slug_in == "path", F.concat(domain, F.lit("/*"))).otherwise(F.concat(F.lit("*."), domain))
