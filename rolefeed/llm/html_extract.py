@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from rolefeed.llm.html_pages import labelled_pages
 
-FIT_PAGES, ROUNDS, WIDTH = 400, 60, 1 << 13
+FIT_PAGES, ROUNDS, WIDTH = 600, 80, 1 << 13
 
 #: Elements that begin a block, that hold no text of the page, and that never close.
 BLOCKS = frozenset("""
@@ -61,7 +61,7 @@ def blocks(html: str | None) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     held: list[str] = []
-    linked, silent, at = 0, 0, 0
+    linked, silent, paragraphs, at = 0, 0, 0, 0
 
     def flush() -> None:
         nonlocal linked
@@ -72,9 +72,11 @@ def blocks(html: str | None) -> list[Block]:
         linked = 0
 
     def close(to: int) -> None:
-        nonlocal silent
+        nonlocal silent, paragraphs
         while len(stack) > to:
-            silent -= stack.pop()[0] in SILENT
+            tag = stack.pop()[0]
+            silent -= tag in SILENT
+            paragraphs -= tag == "p"
 
     def text_at(piece: str) -> None:
         nonlocal linked
@@ -113,8 +115,8 @@ def blocks(html: str | None) -> list[Block]:
             continue
         if name in BLOCKS:
             flush()
-            if name in CLOSES_P and any(t == "p" for t, _ in stack):  # a paragraph ends, and what is open inside it
-                close(max(i for i, (t, _) in enumerate(stack) if t == "p"))
+            if name in CLOSES_P and paragraphs:  # a paragraph ends, and what is open inside it
+                close(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"))
             if name in SAME:
                 depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in SAME[name] or stack[i][0] in ("ul", "ol", "table", "dl")), None)
                 if depth is not None and stack[depth][0] in SAME[name]:
@@ -126,6 +128,7 @@ def blocks(html: str | None) -> list[Block]:
             continue
         stack.append((name, names))
         silent += name in SILENT
+        paragraphs += name == "p"
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
             if end is None:

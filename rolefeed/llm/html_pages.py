@@ -1,8 +1,9 @@
 """Labelled pages to learn main-text extraction from.
 
 No table holds labelled pages, so they are made here by rule: layouts of many
-kinds (article element or plain divisions, notices, menus, sidebars, adverts,
-forms, comments before and after), filled with invented words; each text block
+kinds (article element, sections, plain divisions or no container, short
+articles, tables and definition lists, notices, menus, sidebars, adverts, forms,
+comments after the article and within it), filled with invented words; each text block
 carries its label. The generator is seeded, so the model is the same in every
 run.
 """
@@ -41,9 +42,11 @@ class Maker:
         r, out = self.r, []
         title = self.sentence(2, 9)[:60]
         head = f"<h1>[[1:{title}]]</h1>"
-        out.append(f"<header>{head}</header>" if r.random() < 0.2 else head)
-        for _ in range(r.randint(1, 9)):
-            kind = r.random()
+        short = r.random() < 0.2
+        if r.random() > (0.4 if short else 0.05):
+            out.append(f"<header>{head}</header>" if r.random() < 0.2 else head)
+        for _ in range(1 if short else r.randint(1, 9)):
+            kind = 0 if short else r.random()
             if kind < 0.72:
                 out.append(f"<p>[[1:{self.prose()}]]</p>")
             elif kind < 0.8:
@@ -52,14 +55,32 @@ class Maker:
                 out.append("<ul>" + "".join(f"<li>[[1:{self.sentence(2, 9)}]]</li>" for _ in range(r.randint(1, 4))) + "</ul>")
             elif kind < 0.92:
                 out.append(f"<blockquote>[[1:{self.prose()}]]</blockquote>")
-            elif kind < 0.95:
+            elif kind < 0.935:
+                out.append(self.table())
+            elif kind < 0.945:
+                out.append("<dl>" + "".join(f"<dt>[[1:{self.word()}]]</dt><dd>[[1:{self.sentence(2, 9)}]]</dd>" for _ in range(r.randint(1, 3))) + "</dl>")
+            elif kind < 0.96:
                 out.append(f'<p>[[1:{self.sentence()} <a href="/x">{self.word()}</a> {self.word()}.]]</p>')
             else:
                 out.append(f"<pre>[[1:{self.sentence()}]]</pre>")
-            if r.random() < 0.04:
+            if r.random() < 0.1:
                 out.append(self.advert())
         return "".join(out)
 
+    def table(self) -> str:
+        r, wide = self.r, self.r.randint(2, 3)
+        row = lambda tag: "<tr>" + "".join(f"<{tag}>[[1:{r.choice((self.word(), str(r.randint(1, 999)), self.sentence(2, 6)))}]]</{tag}>" for _ in range(wide)) + "</tr>"
+        return "<table>" + (row("th") if r.random() < 0.5 else "") + "".join(row("td") for _ in range(r.randint(1, 3))) + "</table>"
+
+    def comments(self) -> str:
+        r = self.r
+        tag = r.choice(("p", "div", "li"))
+        said = "".join(f"<{tag}>[[0:{self.prose()}]]</{tag}>" for _ in range(r.randint(1, 4)))
+        name = r.choice(("comments", "comment-list", "comment", "replies", "discussion", "reader-comments"))
+        head = f"<h3>[[0:{self.sentence(1, 3)}]]</h3>" if r.random() < 0.7 else ""
+        element = r.choice(("div", "section", "ul" if tag == "li" else "div"))
+        return f'<{element} {r.choice(("class", "id"))}="{name}">{head}{said}</{element}>'
+
     def advert(self) -> str:
         c = self.r.choice(("ad", "ads", "advert", "advertisement", "sponsored", "promo", "banner"))
         text = self.r.choice((self.sentence(3, 10), self.prose()))
@@ -79,11 +100,10 @@ class Maker:
 
     def after(self) -> list[str]:
         r = self.r
-        comments = "".join(f"<{t}>[[0:{self.prose()}]]</{t}>" for t in [r.choice(("p", "div", "li"))] for _ in range(r.randint(1, 4)))
         return [x for p, x in (
             (0.25, f"<aside>{self.links()}<p>[[0:{self.prose()}]]</p></aside>"),
             (0.25, f'<div class="{r.choice(("sidebar", "side", "related", "widget", "recommended"))}"><h3>[[0:{self.sentence(1, 3)}]]</h3>{self.links()}<p>[[0:{self.sentence()}]]</p></div>'),
-            (0.3, f'<{r.choice(("div", "section"))} {r.choice(("class", "id"))}="{r.choice(("comments", "comment-list", "comment", "replies", "discussion", "reader-comments"))}"><h3>[[0:{self.sentence(1, 3)}]]</h3>{comments}</div>'),
+            (0.35, self.comments()),
             (0.2, f'<form class="{r.choice(("newsletter", "subscribe", "signup", "login"))}"><p>[[0:{self.sentence()}]]</p><input type="email"></form>'),
             (0.3, self.advert()),
             (0.2, f'<div class="{r.choice(("share", "social", "tags", "meta", "pagination"))}">{self.links()}</div>'),
@@ -95,10 +115,12 @@ class Maker:
         opening, closing = r.choice((
             ("<article>", "</article>"), ("<article>", "</article>"), ("<main>", "</main>"), ("<main><article>", "</article></main>"),
             ('<div class="content">', "</div>"), ('<div id="main-content" class="post">', "</div>"),
-            ('<section class="entry-content">', "</section>"), ('<div class="article-body text">', "</div>"), ("<div>", "</div>")))
+            ('<section class="entry-content">', "</section>"), ('<div class="article-body text">', "</div>"), ("<div>", "</div>"), ("<section>", "</section>"), ("", ""), ("", "")))
         before, after = self.before(), self.after()
         r.shuffle(before)
         inner = self.content()
+        if r.random() < 0.15:
+            inner += self.comments()
         if r.random() < 0.1 and after:  # what belongs to the page may stand within the article's element
             inner += after.pop(0)
         return ("<html><head><title>t</title><style>p{}</style></head><body><script>var a=1;</script>" + "".join(before)
