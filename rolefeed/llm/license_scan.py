@@ -97,13 +97,7 @@ class Index:
         for t, hits in diagonals.items():
             n = len(self.words[t])
             band = max(2, n // 5)
-            hits = sorted(set(hits))
-            groups, last = [], None
-            for d, i in hits:
-                if last is None or d - last > band:
-                    groups.append([d, d])
-                groups[-1][1] = last = d
-            for lo, hi in groups:
+            for lo, hi in sorted(_bands([d for d, _ in sorted(set(hits))], band, 2 * n)):
                 matched, a, b = align(ids, self.words[t], lo - band, hi + band)
                 if matched >= coverage * n:
                     matches.append((matched, a, b, t))
@@ -118,6 +112,27 @@ class Index:
         return [(t, matched, matched / len(self.words[t]), spans[a][0], spans[b][1]) for t, matched, a, b in kept]
 
 
+def _bands(diagonals: list[int], band: int, most: int) -> set[tuple[int, int]]:
+    """Ranges of diagonals to align in. Those that follow each other within
+    ``band`` are one copy with words put in or left out, if they span at most
+    ``most``; cut into ranges of ``band``, they are several copies in a row. So
+    no copy hides another, and no range grows with the text."""
+    out, chain, piece = set(), [], []
+    for d in [*diagonals, None]:
+        if d is None or chain and d - chain[1] > band:
+            if chain and chain[1] - chain[0] <= most:
+                out.add(tuple(chain))
+            chain = []
+        if d is None or not chain or d - piece[0] > band:
+            if piece:
+                out.add(tuple(piece))
+            piece = [d, d]
+        if d is not None:
+            chain = [chain[0], d] if chain else [d, d]
+            piece[1] = d
+    return out
+
+
 def align(text: np.ndarray, template: np.ndarray, lo: int, hi: int) -> tuple[int, int, int]:
     """Longest common subsequence of the template with the text, within the band
     of diagonals ``lo`` to ``hi`` (text position less template position):

@@ -1,4 +1,5 @@
 import re
+import time
 
 from rolefeed.llm import license_scan, queries
 from rolefeed.llm.license_texts import TEMPLATES
@@ -25,6 +26,26 @@ def test_changed_and_partial_copies():
     assert index.scan(" ".join(words[: len(words) // 2])) == []
 
 
+def test_copies_in_a_row_are_all_found():
+    index = license_scan.Index()
+    for license_, name, text in TEMPLATES:
+        text = " ".join(text.split())
+        if len(text.split()) < 20:
+            continue
+        once = [TEMPLATES[h[0]][:2] for h in index.scan(text)]
+        for times in (2, 3, 10):
+            assert [TEMPLATES[h[0]][:2] for h in index.scan(" ".join([text] * times))] == once * times, (license_, name, times)
+
+
+def test_many_copies_take_time_in_proportion():
+    index, text, took = license_scan.Index(), " ".join(TEMPLATES[0][2].split()), []
+    for times in (15, 30):
+        started = time.process_time()
+        assert len(index.scan(" ".join([text] * times))) == times
+        took.append(time.process_time() - started)
+    assert took[1] < 3 * took[0] + 0.5
+
+
 def test_alignment_is_a_longest_common_subsequence():
     import numpy as np
 
