@@ -355,11 +355,12 @@ def _conformed(rows: DataFrame, f: _Feeds, as_of: Column | None) -> DataFrame:
     day = as_of if as_of is not None else F.to_date(F.col("fetched_at"))
     info = lambda c: F.col(f"info.{c}")
     html = f.case(("workday", info("text")), otherwise=F.col("html"))
-    rows = rows.withColumn("stripped", F.transform(F.array(html, "html_else", "name_html", "place_html"), lambda x: strip_html(x)))
+    texts = [html, *([F.col(c) for c in ("html_else", "name_html", "place_html")] if f.has(*HTML_FEEDS, "teamtailor") else [])]
+    rows = rows.withColumn("stripped", F.transform(F.array(*texts), lambda x: strip_html(x)) if len(texts) > 1 else F.array(strip_html(html)))
     rows = rows.select(
         "*", built.alias("built"), f.case((HTML_FEEDS, F.get("stripped", F.lit(3))), ("workday", first_truthy(info("place"), F.col("place"))), otherwise=F.col("place")).alias("spot"),
         f.case(("workday", F.split(hostpart, r"\.", 2).getItem(0)), otherwise=F.col("company_slug")).alias("board_name"))
-    of_html = F.coalesce(nonblank(F.get("stripped", F.lit(0))), F.get("stripped", F.lit(1)))
+    of_html = F.coalesce(nonblank(F.get("stripped", F.lit(0))), F.get("stripped", F.lit(1)), F.lit(""))
     pay = misc.format_salary(F.col("pay_min"), F.col("pay_max"), F.col("pay_period"), F.col("pay_currency")) if f.has("recruitee", "teamtailor") else None
     columns = {
         "canonical_url": f.case((tuple(BUILT), F.col("built")), otherwise=urls.normalize_url(F.col("url")) if set(f.feeds) - set(BUILT) else None),
