@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 from ..functions import values as V
+from .listings import computed
 
 Domains = Sequence[tuple[str, str, str]]
 
@@ -76,7 +77,7 @@ def match_domain_table(df: DataFrame, url_col: str, dim: DataFrame) -> DataFrame
 def _with_match(df: DataFrame, url_col: str, domains: Domains | DataFrame) -> DataFrame:
     if isinstance(domains, DataFrame):
         return match_domain_table(df, url_col, domains)
-    d = df.withColumn("_host", urls.host(F.col(url_col)))
+    d = computed(df, _host=urls.host(F.col(url_col)))
     return d.withColumn("_m", domain_match(F.col("_host"), domains))
 
 
@@ -89,12 +90,12 @@ def extract_board(df: DataFrame, url_col: str = "url", domains: Domains | DataFr
     composite ``tenant.wdN/Site`` (site case kept, a leading locale skipped,
     reserved segments rejected).
     """
-    m = _with_match(df, url_col, domains)
+    m = F.col("_m")
+    m = computed(_with_match(df, url_col, domains), _segs=urls.path_segments(F.col(url_col)), _domain=m["domain"], _ats=m["ats_source"], _slug_in=m["slug_in"])
     generic = F.array(*[F.lit(x) for x in V.GENERIC_LABELS])
     not_site = F.array(*[F.lit(x) for x in V.WORKDAY_NOT_SITE])
-    segs = urls.path_segments(F.col(url_col))
-    h, dom = F.col("_host"), F.col("_m.domain")
-    label = F.regexp_replace(F.substring(h, F.lit(1), F.length(h) - F.length(dom)), r"\.+$", "")
+    h, dom, segs, label = F.col("_host"), F.col("_domain"), F.col("_segs"), F.col("_label")
+    m = computed(m, _label=F.regexp_replace(F.substring(h, F.lit(1), F.length(h) - F.length(dom)), r"\.+$", ""))
     first = F.lower(F.try_element_at(segs, F.lit(1)))
     path_slug = F.when(~F.array_contains(generic, first), first)
     parts = F.filter(F.split(label, r"\.", -1), lambda p: ~F.array_contains(generic, p))
@@ -106,13 +107,14 @@ def extract_board(df: DataFrame, url_col: str = "url", domains: Domains | DataFr
     wd_ok = label.contains(".") & (tenant != F.lit("")) & ~F.array_contains(generic, tenant) & site.isNotNull() & ~F.array_contains(not_site, F.lower(site))
     wd_slug = F.when(wd_ok, F.concat(F.lower(label), F.lit("/"), site))
     slug = (
-        F.when(F.col("_m.slug_in") == "path", path_slug)
-        .when(F.col("_m.ats_source") == "workday", wd_slug)
-        .when(F.col("_m.slug_in") == "subdomain", sub_slug)
+        F.when(F.col("_slug_in") == "path", path_slug)
+        .when(F.col("_ats") == "workday", wd_slug)
+        .when(F.col("_slug_in") == "subdomain", sub_slug)
     )
-    out = m.withColumn("company_slug", slug).withColumn("domain", dom).withColumn("slug_in", F.col("_m.slug_in"))
-    out = out.withColumn("ats_source", F.when(F.col("company_slug").isNotNull(), F.col("_m.ats_source")))
-    return out.drop("_host", "_m")
+    # a filter on the outcome stays above these steps, where nothing is evaluated twice
+    out = computed(m, _slug=slug).withColumn("company_slug", F.col("_slug")).withColumn("domain", dom).withColumn("slug_in", F.col("_slug_in"))
+    out = out.withColumn("ats_source", F.when(F.col("company_slug").isNotNull(), F.col("_ats")))
+    return out.drop("_host", "_m", "_segs", "_domain", "_ats", "_slug_in", "_label", "_slug")
 
 
 def classify_ats(df: DataFrame, url_col: str = "url") -> DataFrame:

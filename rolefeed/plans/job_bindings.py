@@ -247,7 +247,7 @@ def repair_inputs(spark, sf):
                  F.pmod(F.col("user_id"), F.lit(3)), F.lit("/job/R"), F.col("event_id")),
     ).otherwise(F.concat(F.lit("https://jobs.lever.co/co"), F.col("user_id"), F.lit("/"), F.col("event_id")))
     captures = e.select(F.concat(F.lit('{"link": "'), url, F.lit('", "q": "site:myworkdayjobs.com"}')).alias("value"))
-    candidates = RP.harvest_composites(captures)
+    candidates = cut_lineage(RP.harvest_composites(captures))  # read by the verification and every branch of the plan
     verification = candidates.select("composite", F.when(F.pmod(F.regexp_extract("composite", "^co([0-9]+)", 1).cast("int"), F.lit(4)) == 0, F.lit(404)).otherwise(F.lit(200)).alias("http_status"))
     c = table(spark, sf, "customer")
     slug = (

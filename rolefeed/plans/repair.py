@@ -16,8 +16,9 @@ from ..operators.boards import extract_board
 
 
 def harvest_composites(captures: DataFrame, text_col: str = "value") -> DataFrame:
-    """E23 + P19: every distinct workday composite found in the raw text."""
-    urls = captures.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(V.WORKDAY_URL), 0)).alias("url"))
+    """E23 + P19: every distinct workday composite found in the raw text. The
+    shuffle that finds the different URLs also deals them to tasks, by their size."""
+    urls = captures.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(V.WORKDAY_URL), 0)).alias("url")).distinct()
     b = extract_board(urls, "url")
     return b.where(F.col("ats_source") == "workday").select(F.col("company_slug").alias("composite")).distinct()
 
