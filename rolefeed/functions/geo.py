@@ -18,37 +18,53 @@ def _norm_key(k: str) -> str:
     return k.strip().lower().strip(".")
 
 
-def _lookup_map() -> Column:
+def _lookup_table() -> dict[str, str]:
     # Priority: code, then alias, then known display name.
     table: dict[str, str] = {}
     known = {name.lower(): name for name in set(V.ISO2.values()) | set(V.ALIASES.values())}
     for src in (known, {_norm_key(k): v for k, v in V.ALIASES.items()}, V.ISO2):
         table.update(src)
-    # One string literal folded into one map constant (a create_map call with
-    # hundreds of literal arguments would be re-analysed at every use).
-    text = "\x02".join(f"{k}\x01{table[k]}" for k in sorted(table))
-    return F.str_to_map(F.lit(text), F.lit("\x02"), F.lit("\x01"))
+    return table
 
 
-_MAP = None
+BUCKETS = 128
+
+
+def _bucket(first: int | Column, chars: int | Column) -> int | Column:
+    """The bucket of a key by its first character and its length."""
+    return (first * 31 + chars) % BUCKETS
+
+
+def _canon_maps() -> Column:
+    """The lookup table without the tokens that name no country, in BUCKETS maps
+    of a few keys each: a map is searched from end to end."""
+    table = {k: v for k, v in _lookup_table().items() if k and k not in V.NON_COUNTRY}
+    parts = [""] * BUCKETS
+    for k in sorted(table):
+        i = _bucket(ord(k[0]), len(k))
+        parts[i] += ("\x02" if parts[i] else "") + f"{k}\x01{table[k]}"
+    return F.array(*[F.str_to_map(F.lit(p), F.lit("\x02"), F.lit("\x01")) for p in parts])
+
+
+_MAPS = None
 _NON = None
 _STATES = None
 
 
 def _consts():
-    global _MAP, _NON, _STATES
-    if _MAP is None:
-        _MAP = _lookup_map()
+    global _MAPS, _NON, _STATES
+    if _MAPS is None:
+        _MAPS = _canon_maps()
         _NON = F.array(*[F.lit(x) for x in V.NON_COUNTRY])
         _STATES = F.array(*[F.lit(x) for x in V.US_STATES])
-    return _MAP, _NON, _STATES
+    return _MAPS, _NON, _STATES
 
 
 def canon(token) -> Column:
     """One token (code, alias or known name) to a display country."""
-    m, non, _ = _consts()
-    t = F.regexp_replace(F.lower(py_strip(as_col(token))), r"^\.+|\.+$", "")
-    return F.when((t != F.lit("")) & ~F.array_contains(non, t), F.try_element_at(m, t))
+    maps, _, _ = _consts()
+    t = F.trim(F.lower(py_strip(as_col(token))), F.lit("."))
+    return let(t, lambda t: F.try_element_at(F.get(maps, _bucket(F.ascii(t), F.length(t))), t))
 
 
 def title_case(c) -> Column:
